@@ -9,19 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import models as M
+from .plans import incremental as A
+from .plans import quality as Q
 from .plans import questions as K
 from .sources.fixtures import raw_tables
 
 PARAMS = {
     "season": "1997-1998",
     "competition": "League Mens Premier BUILDING",
-    "team": "NATION_3",
+    "team": "NATION_11",
     "colour": "Yellow",
     "seasons": ["1996-1997", "1997-1998", "1998-1999"],
     "profile_competitions": ["League Womens Premier MACHINERY", "League Womens Division MACHINERY"],
     "gender": "Mens",
     "tiers": [1, 2],
     "top_n": 10,
+    "as_of": "1998-06-01",
 }
 
 
@@ -63,12 +66,30 @@ def spark_queries() -> dict:
         "goal_share": _question(K.goal_share, p["season"]),
         "tier_shortlist": _question(K.tier_shortlist, p["gender"], p["tiers"], p["season"], p["top_n"]),
         "team_journey": _question(K.team_journey, p["team"]),
+        "dq_not_null": _question(Q.not_null_report),
+        "dq_unique": _question(Q.unique_report),
+        "dq_relationships": _question(Q.relationships_report),
+        "dq_accepted_values": _question(Q.accepted_values_report),
+        "dq_future_results": _question(Q.future_results, p["as_of"]),
+        "dq_tbc_teams": _question(Q.tbc_teams),
+        "dq_summary": _question(Q.summary, p["as_of"]),
+        "gate_decision": _question(Q.gate_decision, p["as_of"]),
+        "upsert_matches": A.upserted_matches,
+        "upsert_counts": A.matches_upsert_counts,
+        "high_water_mark": A.high_water_mark,
+        "event_work": A.event_work,
+        "event_work_counters": A.event_work_counters,
+        "pending_matches": A.pending_matches,
+        "days_since": A.days_since,
+        "run_summary": A.run_summary,
     })
     return q
 
 
 def oracle_queries() -> dict:
     from oracle import models as OM
+    from oracle import incremental as OI
+    from oracle import quality as OD
     from oracle import questions as OQ
     p = PARAMS
     o = {name: OM.model_sql(name) for name in M.MODEL_NAMES}
@@ -91,5 +112,21 @@ def oracle_queries() -> dict:
         "goal_share": OQ.goal_share(p["season"]),
         "tier_shortlist": OQ.tier_shortlist(p["gender"], p["tiers"], p["season"], p["top_n"]),
         "team_journey": OQ.team_journey(p["team"]),
+        "dq_not_null": OD.not_null_sql(),
+        "dq_unique": OD.unique_sql(),
+        "dq_relationships": OD.relationships_sql(),
+        "dq_accepted_values": OD.accepted_values_sql(),
+        "dq_future_results": OD.future_sql(p["as_of"]),
+        "dq_tbc_teams": OD.tbc_sql(),
+        "dq_summary": OD.summary_sql(p["as_of"]),
+        "gate_decision": OD.gate_sql(p["as_of"]),
+        "upsert_matches": OI.upsert_matches(),
+        "upsert_counts": OI.upsert_counts(),
+        "high_water_mark": OI.high_water_mark(),
+        "event_work": OI.event_work(),
+        "event_work_counters": OI.event_work_counters(),
+        "pending_matches": OI.pending_matches(),
+        "days_since": OI.days_since(),
+        "run_summary": OI.run_summary(),
     })
     return o
