@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import models as M
 from .plans import incremental as A
+from .plans import loading as LD
 from .plans import quality as Q
 from .plans import questions as K
 from .sources.fixtures import raw_tables
@@ -82,6 +83,12 @@ def spark_queries() -> dict:
         "pending_matches": A.pending_matches,
         "days_since": A.days_since,
         "run_summary": A.run_summary,
+        "csv_round_trip": LD.csv_round_trip,
+        "raw_counts": LD.raw_counts,
+        "load_overwrite": LD.load_overwrite,
+        "count_diff": LD.count_diff,
+        "source_lookup": LD.source_lookup,
+        "promote_round_trip": LD.promote_round_trip,
     })
     return q
 
@@ -89,6 +96,7 @@ def spark_queries() -> dict:
 def oracle_queries() -> dict:
     from oracle import models as OM
     from oracle import incremental as OI
+    from oracle import loading as OL
     from oracle import quality as OD
     from oracle import questions as OQ
     p = PARAMS
@@ -128,5 +136,11 @@ def oracle_queries() -> dict:
         "pending_matches": OI.pending_matches(),
         "days_since": OI.days_since(),
         "run_summary": OI.run_summary(),
+        "csv_round_trip": OL.csv_round_trip(),
+        "raw_counts": OL.raw_counts(),
+        "load_overwrite": OL.load_overwrite(),
+        "count_diff": OL.count_diff(),
+        "source_lookup": OL.source_lookup(),
+        "promote_round_trip": OL.promote_round_trip(),
     })
     return o
