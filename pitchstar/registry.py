@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import models as M
 from .plans import incremental as A
+from .plans import extraction as X
 from .plans import loading as LD
 from .plans import quality as Q
 from .plans import questions as K
@@ -89,12 +90,25 @@ def spark_queries() -> dict:
         "count_diff": LD.count_diff,
         "source_lookup": LD.source_lookup,
         "promote_round_trip": LD.promote_round_trip,
+        "page_elements": X.article_elements,
+        "page_sections": X.article_sections,
+        "page_rows": X.parsed_matches,
+        "page_standings": X.parsed_standings,
+        "page_header": X.parsed_headers,
+        "page_events": X.parsed_events,
+        "page_dedupe": X.dedupe_matches,
+        "page_cap": X.capped_matches,
+        "page_total_cap": X.total_capped_matches,
+        "page_first_match": X.page_headings,
+        "page_missing": X.missing_pages,
+        "page_days": X.match_days,
     })
     return q
 
 
 def oracle_queries() -> dict:
     from oracle import models as OM
+    from oracle import extraction as OX
     from oracle import incremental as OI
     from oracle import loading as OL
     from oracle import quality as OD
@@ -142,5 +156,17 @@ def oracle_queries() -> dict:
         "count_diff": OL.count_diff(),
         "source_lookup": OL.source_lookup(),
         "promote_round_trip": OL.promote_round_trip(),
+        "page_elements": OX.page_elements(),
+        "page_sections": OX.page_sections(),
+        "page_rows": OX.page_rows(),
+        "page_standings": OX.page_standings(),
+        "page_header": OX.page_header(),
+        "page_events": OX.page_events(),
+        "page_dedupe": OX.page_dedupe(),
+        "page_cap": OX.page_cap(),
+        "page_total_cap": OX.page_total_cap(),
+        "page_first_match": OX.page_first_match(),
+        "page_missing": OX.page_missing(),
+        "page_days": OX.page_days(),
     })
     return o
