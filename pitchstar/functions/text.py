@@ -61,8 +61,11 @@ def tier_of(c) -> Column:
 
 
 def int_or_null(c) -> Column:
-    """Text -> bigint, bad or empty -> NULL (never raises under ANSI)."""
-    return F.trim(_col(c).cast("string")).try_cast("bigint")
+    """Text -> bigint, bad or empty -> NULL (never raises under ANSI).
+    Accepts an optionally signed run of digits with surrounding whitespace,
+    like Python's int(); '17.0' or '3rd' are bad."""
+    digits = F.regexp_extract(_col(c).cast("string"), r"^\s*([+-]?\d+)\s*$", 1)
+    return digits.try_cast("bigint")
 
 
 def int_or_zero(c) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import models as M
 from .plans import incremental as A
+from .plans import expressions as XP
 from .plans import extraction as X
 from .plans import loading as LD
 from .plans import quality as Q
@@ -102,12 +103,20 @@ def spark_queries() -> dict:
         "page_first_match": X.page_headings,
         "page_missing": X.missing_pages,
         "page_days": X.match_days,
+        "expr_names": XP.names,
+        "expr_phase_gender": XP.phase_gender,
+        "expr_ints": XP.ints,
+        "expr_minute": XP.minutes,
+        "expr_icon": XP.icons,
+        "expr_player": XP.players,
+        "expr_dates": XP.dates,
     })
     return q
 
 
 def oracle_queries() -> dict:
     from oracle import models as OM
+    from oracle import expressions as OE
     from oracle import extraction as OX
     from oracle import incremental as OI
     from oracle import loading as OL
@@ -168,5 +177,12 @@ def oracle_queries() -> dict:
         "page_first_match": OX.page_first_match(),
         "page_missing": OX.page_missing(),
         "page_days": OX.page_days(),
+        "expr_names": OE.names(),
+        "expr_phase_gender": OE.phase_gender(),
+        "expr_ints": OE.ints(),
+        "expr_minute": OE.minutes(),
+        "expr_icon": OE.icons(),
+        "expr_player": OE.players(),
+        "expr_dates": OE.dates(),
     })
     return o
