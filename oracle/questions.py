@@ -210,3 +210,13 @@ SELECT match_id, match_date, competition_name, is_home,
             (CASE WHEN is_home THEN away_score ELSE home_score END) THEN 'L' END AS result
 FROM fct_team_matches
 WHERE (CASE WHEN is_home THEN home_team_name ELSE away_team_name END) = {q(team)}""")
+
+
+def ask_goals_by_team():
+    return with_models("""
+SELECT s.season_name, e.team_name, count(e.event_id) AS goals
+FROM fct_match_events e
+LEFT JOIN (SELECT DISTINCT match_id, season_id FROM fct_matches) m ON e.match_id = m.match_id
+LEFT JOIN dim_seasons s ON m.season_id = s.season_id
+WHERE e.event_type = 'goal'
+GROUP BY s.season_name, e.team_name""")

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import models as M
 from .plans import incremental as A
+from .plans import ask as AK
 from .plans import expressions as XP
 from .plans import extraction as X
 from .plans import loading as LD
 from .plans import quality as Q
+from .plans import streaming as ST
 from .plans import questions as K
 from .sources.fixtures import raw_tables
 
@@ -110,6 +112,9 @@ def spark_queries() -> dict:
         "expr_icon": XP.icons,
         "expr_player": XP.players,
         "expr_dates": XP.dates,
+        "ask_goals_by_team": _question(AK.ask, "fct_match_events", {"goals": ("count", "event_id")},
+                                       ["season_name", "team_name"], {"event_type": "goal"}),
+        "stream_upsert": ST.stream_upsert,
     })
     return q
 
@@ -184,5 +189,7 @@ def oracle_queries() -> dict:
         "expr_icon": OE.icons(),
         "expr_player": OE.players(),
         "expr_dates": OE.dates(),
+        "ask_goals_by_team": OQ.ask_goals_by_team(),
+        "stream_upsert": OI.upsert_matches(),
     })
     return o
