@@ -49,7 +49,7 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()  # JVM warm-up, not timed
     db = create_database(spark, "bench_star", f"{work}/bench_star.db")
 
-    raw = timed("load_raw", lambda: {t: materialize(df, db, t) for t, df in raw_tables(spark, sf_dir).items()})
+    raw = timed("load_raw", lambda: {t: materialize(df, db, t) for t, df in raw_tables(spark, sf_dir, share=True).items()})
     star = timed("build_star", lambda: build_star_tables(raw, db))
     timed("checks", lambda: C.run_checks(star, P["as_of"]).collect())
     questions = {

@@ -1,8 +1,12 @@
 """Dimension lookups and membership joins.
 
-A dimension is broadcast only after its row count is checked against a
-bound; above the bound the join is left to Spark (sort-merge, or a runtime
-broadcast chosen by AQE from measured sizes).
+Broadcast policy: a broadcast hint is placed only on a side whose size is
+proven small -- bounded by construction (``small=True``: one row per
+season or phase) or counted against MAX_BROADCAST_ROWS (``small=None``
+with ``check=True``). Otherwise no hint: Spark broadcasts by its size
+statistics (stored tables report file sizes; autoBroadcastJoinThreshold)
+and AQE re-plans at run time from measured shuffle sizes, falling back to
+a sort-merge join when the side is large.
 """
 
 from __future__ import annotations
@@ -27,23 +31,25 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
 
 def lookup_fk(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
               dim_key: str, out_col: str | None = None,
-              small: bool | None = None) -> DataFrame:
+              small: bool | None = None, check: bool = False) -> DataFrame:
     """Left-join ``fact`` to ``dim`` on ``fact_col = dim_col`` and append the
     dimension key as ``out_col``. Unmatched or NULL natural keys give NULL.
-    ``small`` skips the size check when the caller already knows it."""
+    ``small``: True = bounded by construction (hint), False = never hint,
+    None = hint only if ``check`` and the row count is under the bound."""
     out_col = out_col or dim_key
     d = dim.select(F.col(dim_col).alias("_nk"), F.col(dim_key).alias(out_col))
-    use_bc = fits_broadcast(d) if small is None else small
+    use_bc = small if small is not None else (check and fits_broadcast(d))
     if use_bc:
         d = F.broadcast(d)
     return fact.join(d, fact[fact_col] == d["_nk"], "left").drop("_nk")
 
 
 def lookup_roles(fact: DataFrame, dim: DataFrame, dim_col: str, dim_key: str,
-                 roles: dict[str, str], small: bool | None = None) -> DataFrame:
+                 roles: dict[str, str], small: bool | None = None,
+                 check: bool = False) -> DataFrame:
     """E2 role-playing dimension: ``roles`` maps a fact column to the output
     key column, e.g. {"home_team": "home_team_id", "away_team": "away_team_id"}."""
-    if small is None:
+    if small is None and check:
         small = fits_broadcast(dim.select(dim_col))
     for fact_col, out_col in roles.items():
         fact = lookup_fk(fact, dim, fact_col, dim_col, dim_key, out_col, small=small)

@@ -141,8 +141,9 @@ def dim_players(stg_e: DataFrame) -> DataFrame:
 def fct_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
                 teams: DataFrame) -> DataFrame:
     """Natural keys -> dimension ids; team dim used twice (roles)."""
-    f = lookup_fk(int_m, seasons, "season", "season_name", "season_id")
-    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id")
+    # one row per season / per phase: bounded by construction
+    f = lookup_fk(int_m, seasons, "season", "season_name", "season_id", small=True)
+    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
     f = lookup_roles(f, teams, "team_name", "team_id",
                      {"home_team": "home_team_id", "away_team": "away_team_id"})
     return f.select(
@@ -165,8 +166,8 @@ def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
     ws = base.join(scores, base.match_id == scores._sid, "left").drop("_sid")
     tm = _perspectives(ws, _TEAM_CTX, carry=["home_score", "away_score"])
     tm = tm.withColumn("team_match_id", surrogate_key("match_id", "team"))
-    f = lookup_fk(tm, seasons, "season", "season_name", "season_id")
-    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id")
+    f = lookup_fk(tm, seasons, "season", "season_name", "season_id", small=True)
+    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
     f = lookup_roles(f, teams, "team_name", "team_id",
                      {"team": "team_id", "opponent": "opponent_id"})
     home = F.when(F.col("is_home"), F.col("team")).otherwise(F.col("opponent"))
@@ -198,8 +199,8 @@ def fct_match_events(stg_e: DataFrame, stg_m: DataFrame, players: DataFrame,
 def fct_standings(stg_s: DataFrame, seasons: DataFrame, phases: DataFrame,
                   teams: DataFrame) -> DataFrame:
     """Standings with season, phase and team ids plus snapshot date."""
-    f = lookup_fk(stg_s, seasons, "season", "season_name", "season_id")
-    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id")
+    f = lookup_fk(stg_s, seasons, "season", "season_name", "season_id", small=True)
+    f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
     f = lookup_fk(f, teams, "team", "team_name", "team_id")
     return f.select(
         F.col("standing_id").alias("standings_id"), "season_id", "phase_id", "team_id",

@@ -9,6 +9,7 @@ exact raw schema of ``pitchstar.schemas``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +73,16 @@ def _matches_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _matches_keyed(spark, sf_dir).select(*MATCHES.fieldNames())
+def raw_matches(spark: SparkSession, sf_dir: str, keyed: DataFrame | None = None) -> DataFrame:
+    keyed = keyed if keyed is not None else _matches_keyed(spark, sf_dir)
+    return keyed.select(*MATCHES.fieldNames())
 
 
-def raw_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_match_events(spark: SparkSession, sf_dir: str, keyed: DataFrame | None = None) -> DataFrame:
     """Distinct event rows: one per lineitem of a scored match (the raw
     table holds each event once, like the upserted CSV)."""
-    m = _matches_keyed(spark, sf_dir).filter(F.col("home_score").isNotNull())
+    keyed = keyed if keyed is not None else _matches_keyed(spark, sf_dir)
+    m = keyed.filter(F.col("home_score").isNotNull())
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey",
                     "l_linenumber", "l_quantity", "l_returnflag")
     # supplier grows with scale; no hint -> Spark/AQE pick by measured size.
@@ -105,10 +108,10 @@ def raw_match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.distinct().select(*MATCH_EVENTS.fieldNames())
 
 
-def raw_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_standings(spark: SparkSession, sf_dir: str, keyed: DataFrame | None = None) -> DataFrame:
     """League table per (season, phase, group, competition, team) from both
     sides of every scored match; TBC placeholders get no row."""
-    m = raw_matches(spark, sf_dir).filter(F.col("home_score").isNotNull())
+    m = raw_matches(spark, sf_dir, keyed).filter(F.col("home_score").isNotNull())
     ctx = ["season", "phase", "competition_group", "competition"]
     # Both perspectives from one scan: explode a two-element array.
     sides = m.select(*ctx, F.explode(F.array(
@@ -138,7 +141,13 @@ def raw_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*STANDINGS.fieldNames())
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"standings": raw_standings(spark, sf_dir),
-            "matches": raw_matches(spark, sf_dir),
-            "match_events": raw_match_events(spark, sf_dir)}
+def raw_tables(spark: SparkSession, sf_dir: str, share: bool = False) -> dict[str, DataFrame]:
+    """The three raw tables. ``share=True`` persists the keyed matches once
+    (memory and disk; lost blocks are recomputed from lineage) so writing
+    all three tables does not repeat the orders/customer join."""
+    keyed = _matches_keyed(spark, sf_dir)
+    if share:
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    return {"standings": raw_standings(spark, sf_dir, keyed),
+            "matches": raw_matches(spark, sf_dir, keyed),
+            "match_events": raw_match_events(spark, sf_dir, keyed)}
