@@ -188,12 +188,48 @@ def _count_row(df: DataFrame, check: str, model: str, col: str, severity: str) -
         F.lit(col).alias("column_name"), F.lit(severity).alias("severity"), "failures")
 
 
+def _stacked(star, tests, value_cols) -> DataFrame:
+    """One frame of (model, column_name, value) for the given tests, values
+    as text so keys of any type share one shuffle."""
+    parts = [star[m].select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
+                            F.col(c).cast("string").alias("value"))
+             for m, c in tests]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _unique_counts(star, tests) -> DataFrame:
+    """All unique tests in one aggregation: values seen more than once,
+    counted per (model, column). Partial aggregation keeps a hot value to
+    one row per task before the shuffle."""
+    vals = _stacked(star, tests, None).filter(F.col("value").isNotNull())
+    dup = vals.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("_n")) \
+        .filter(F.col("_n") > 1)
+    return dup.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
+def _relationship_counts(star, tests) -> DataFrame:
+    """All relationships tests in one anti-join on (parent, parent column,
+    value): child rows whose non-NULL key has no parent row."""
+    child = reduce(DataFrame.unionByName, [
+        star[m].select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
+                       F.lit(f"{a[0]}.{a[1]}").alias("_parent"), F.col(c).cast("string").alias("value"))
+        .filter(F.col("value").isNotNull())
+        for m, c, a in tests])
+    parents = reduce(DataFrame.unionByName, [
+        star[p].select(F.lit(f"{p}.{k}").alias("_parent"), F.col(k).cast("string").alias("value"))
+        for p, k in sorted({(a[0], a[1]) for _, _, a in tests})]).distinct()
+    orphan = child.join(parents, ["_parent", "value"], "left_anti")
+    return orphan.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures"))
+
+
 # Q7
 def run_checks(star, as_of=None) -> DataFrame:
     """Every model test plus the two custom tests as one summary frame.
 
-    ``star`` maps a model name to a DataFrame (a ``Star`` or materialised
-    tables). One action computes all rows.
+    ``star`` maps a model name to a DataFrame (a ``Star`` or stored tables).
+    One action computes all rows: not_null tests share one scan per table,
+    all unique tests share one aggregation and all relationships tests one
+    anti-join, so the shuffle count does not grow with the number of tests.
     """
     parts: list[DataFrame] = []
     nn: dict[str, list[tuple[str, str]]] = {}
@@ -206,15 +242,24 @@ def run_checks(star, as_of=None) -> DataFrame:
         parts.append(counts.select(
             F.lit("not_null").alias("check_name"), F.lit(model).alias("model"), "column_name",
             sev[F.col("column_name")].alias("severity"), F.col("failures").cast("bigint")))
+
+    def per_test(kind, found: DataFrame) -> DataFrame:
+        specs = [(m, c, s) for m, c, t, _, s in MODEL_TESTS if t == kind]
+        spec = found.sparkSession.createDataFrame(
+            specs, "model string, column_name string, severity string")
+        # one row per declared test; tests without failures count 0
+        return spec.join(found, ["model", "column_name"], "left").select(
+            F.lit(kind).alias("check_name"), "model", "column_name", "severity",
+            F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
+
+    uq = [(m, c) for m, c, t, _, _ in MODEL_TESTS if t == "unique"]
+    parts.append(per_test("unique", _unique_counts(star, uq)))
+    rel = [(m, c, a) for m, c, t, a, _ in MODEL_TESTS if t == "relationships"]
+    parts.append(per_test("relationships", _relationship_counts(star, rel)))
     for model, col, test, arg, sev in MODEL_TESTS:
-        df = star[model]
-        if test == "unique":
-            parts.append(_count_row(unique(df, col), test, model, col, sev))
-        elif test == "relationships":
-            parts.append(_count_row(relationships(df, col, star[arg[0]], arg[1]), test, model, col, sev))
-        elif test == "accepted_values":
+        if test == "accepted_values":
             # failures = number of distinct unexpected values, like the test's row count
-            parts.append(_count_row(accepted_values(df, col, arg), test, model, col, sev))
+            parts.append(_count_row(accepted_values(star[model], col, arg), test, model, col, sev))
     parts.append(_count_row(no_future_results(star["fct_matches"], as_of),
                             CUSTOM_TESTS[0][0], "fct_matches", "", CUSTOM_TESTS[0][1]))
     parts.append(_count_row(tbc_without_ids(star["fct_matches"], star["stg_matches"]),

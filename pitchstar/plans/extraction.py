@@ -40,7 +40,12 @@ def article_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B2 + B3 (+ B11, C1, C2, C5) over the rendered fixtures pages."""
-    pages = listing_pages(raw_matches(spark, sf_dir))
+    return parse_listing(listing_pages(raw_matches(spark, sf_dir)))
+
+
+def parse_listing(pages: DataFrame) -> DataFrame:
+    """Fixtures pages (page_id, season, competition_group, match_day, html)
+    -> raw match fields."""
     el = P.page_elements(pages, P.class_start(P.RIBBON, P.MATCH_CARD), 'class="([^" ]+)',
                          keep=["page_id", "season", "competition_group", "match_day"])
     title = P.first_match("chunk", [
@@ -56,7 +61,10 @@ def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B2 + B4 over the rendered standings pages (titles are only
     trimmed, as the standings collector does)."""
-    pages = standings_pages(raw_standings(spark, sf_dir))
+    return parse_standings_pages(standings_pages(raw_standings(spark, sf_dir)))
+
+
+def parse_standings_pages(pages: DataFrame) -> DataFrame:
     el = P.page_elements(pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), 'class="([^" ]+)',
                          keep=["page_id", "season", "competition_group"])
     title = F.regexp_extract("chunk", f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<', 1)
@@ -75,7 +83,12 @@ def parsed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B5 (+ C6, C7, C8) over the rendered match pages."""
-    ev = P.parse_events(P.parse_header(event_pages(raw_match_events(spark, sf_dir))))
+    return parse_match_pages(event_pages(raw_match_events(spark, sf_dir)))
+
+
+def parse_match_pages(pages: DataFrame) -> DataFrame:
+    """Match pages (page_id, match_url, html) -> event rows."""
+    ev = P.parse_events(P.parse_header(pages))
     return ev.select("match_url", "team", "event_type", "event_subtype", "player_name", "minute")
 
 

@@ -26,8 +26,8 @@ class StoredStar(Star):
     """A Star whose every model is written to ``db`` when first needed and
     then read back from there."""
 
-    def __init__(self, raw: dict[str, DataFrame], db: str):
-        super().__init__(raw)
+    def __init__(self, raw: dict[str, DataFrame], db: str, check_dims: bool = True):
+        super().__init__(raw, check_dims)
         self.db = db
 
     def __getitem__(self, name: str) -> DataFrame:
