@@ -10,6 +10,7 @@ from ..functions.keys import match_text_key
 from ..functions.text import gender_of, phase_of, prefix
 from ..schemas import RUN_SUMMARY
 from .lookup import maybe_broadcast
+from .topn import cap_rows
 from .upsert import upsert
 
 NOTE_LIMIT = 100
@@ -55,10 +56,12 @@ def select_event_work(matches: DataFrame, events: DataFrame, since: str | None,
                     forced.alias("forced"))
 
 
-def event_work(decided: DataFrame) -> DataFrame:
-    """The (url, season) list to fetch."""
-    return decided.filter(F.col("decision").isin("selected", "forced_retry")) \
-        .select("match_url", "season")
+def event_work(decided: DataFrame, limit: int = 0) -> DataFrame:
+    """The (url, season) list to fetch; ``limit > 0`` keeps the first
+    ``limit`` by (match_date, match_url) (H3), 0 keeps all."""
+    work = decided.filter(F.col("decision").isin("selected", "forced_retry"))
+    work = cap_rows(work, limit, [F.asc_nulls_first("match_date"), F.asc("match_url")])
+    return work.select("match_url", "season")
 
 
 def event_work_counters(decided: DataFrame) -> DataFrame:

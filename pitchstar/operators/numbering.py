@@ -1,7 +1,8 @@
 """G1: dense row numbering ``ROW_NUMBER() OVER (ORDER BY ...)`` without
-pulling every row into one task.
+pulling an unbounded number of rows into one task.
 
-Plan: range-partition on the order columns and sort inside each partition,
+Small inputs (counted: at most ``single_task_max`` rows) are numbered by
+the plain global window, a bounded single task. Larger inputs: range-partition on the order columns and sort inside each partition,
 write that once to the reliable checkpoint folder (so a lost executor cannot
 recompute a different range split), then number rows inside each partition
 and add the row count of all earlier partitions. The per-partition counts
@@ -23,17 +24,23 @@ def _sort_col(c) -> Column:
     return F.col(c).asc_nulls_first()
 
 
+SINGLE_TASK_MAX = 1_000_000
+
+
 def number_rows(df: DataFrame, order_cols: list, id_col: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None,
+                single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     """Append ``id_col`` (bigint, 1..n) in the total order of ``order_cols``.
 
-    Ties in ``order_cols`` are numbered in an arbitrary but fixed order, as a
-    SQL ROW_NUMBER would; callers pass a unique order for stable ids.
+    Ties in ``order_cols`` are numbered in an arbitrary order, as a SQL
+    ROW_NUMBER would; callers pass a unique order for stable ids.
     """
     spark = df.sparkSession
+    sort = [_sort_col(c) for c in order_cols]
+    if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
+        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort)).cast("bigint"))
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [_sort_col(c) for c in order_cols]
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # Reliable checkpoint: fixes both the partition split and the in-partition
     # order, so the ids below are reproducible under task retry.

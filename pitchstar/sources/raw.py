@@ -14,6 +14,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..functions.casts import typed
 from ..schemas import RAW
 from ..session import ensure_checkpoint_dir
 
@@ -24,11 +27,19 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8",
 
 
 # A1
-def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
-    """Read one raw table with its fixed schema (CSV or Parquet)."""
+def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv",
+             as_text: bool = False) -> DataFrame:
+    """Read one raw table with its fixed schema (CSV or Parquet).
+
+    ``as_text=True`` reads every CSV field as text and applies the schema
+    with ``typed`` (try_cast): a malformed number becomes NULL instead of
+    failing the load."""
     schema = RAW[table]
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
+    if as_text:
+        text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+        return typed(spark.read.schema(text).options(**CSV_OPTIONS).csv(path), schema)
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 

@@ -80,3 +80,21 @@ def test_run_summary_truncates_notes(spark):
     assert (m.gender, m.phase, m.row_count, len(m.notes)) == ("Womens", "Phase 1", 0, 100)
     e = out["match_events"]
     assert (e.season, e.competition, e.notes) == ("All", "All", "Scraped 4 matches")
+
+
+def test_event_work_limit(spark):
+    d = dt.date
+    m = _matches(spark, [("2025-2026", f"/f/{i}", d(2025, 12, i), 1, 1) for i in range(1, 6)])
+    ev = spark.createDataFrame([], "match_url string")
+    dec = I.select_event_work(m, ev, None, "2025-2026")
+    assert [r.match_url for r in I.event_work(dec, limit=2).collect()] == ["/f/1", "/f/2"]
+    assert I.event_work(dec).count() == 5
+
+
+def test_read_raw_as_text_tolerates_bad_numbers(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    p.write_text("season,phase,competition_group,competition,position,team,played,won,drawn,lost,"
+                 "goals_for,goals_against,goal_difference,points,standings_url,scraped_at\n"
+                 "2025-2026,,G,C,1st,T,10,x,,1,5,3,2,9,/u,2026-01-31T20:55:51\n")
+    r = R.read_raw(spark, str(p), "standings", as_text=True).first()
+    assert (r.position, r.won, r.drawn, r.points) == (None, None, None, 9)

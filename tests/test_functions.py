@@ -79,3 +79,15 @@ def test_match_status(spark):
         F.col("t").cast("timestamp_ntz").alias("scraped_at"))
     got = [r[0] for r in df.select(T.match_status()).collect()]
     assert got == ["Completed", "Upcoming", "Missing result", "Missing result"]
+
+
+def test_typed_and_project(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from pitchstar.functions.casts import project, typed
+    df = spark.createDataFrame([("7", "x"), ("bad", "y")], "a string, b string")
+    schema = StructType([StructField("a", LongType()), StructField("b", StringType())])
+    got = [tuple(r) for r in typed(df, schema).collect()]
+    assert got == [(7, "x"), (None, "y")]
+    p = project(df, {"b2": "b", "a_len": F.length("a")}).collect()
+    assert [tuple(r) for r in p] == [("x", 1), ("y", 3)]

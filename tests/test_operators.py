@@ -13,11 +13,13 @@ def test_number_rows_equals_global_row_number(spark):
     rnd = random.Random(7)
     names = list({f"n{rnd.randint(0, 10**6):07d}" for _ in range(3000)})
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(13)
-    got = number_rows(df, ["name"], "id", num_partitions=9)
+    got = number_rows(df, ["name"], "id", num_partitions=9, single_task_max=0)
     want = df.withColumn("id", F.row_number().over(Window.orderBy("name")).cast("bigint"))
     assert sorted(got.collect()) == sorted(want.collect())
     ids = sorted(r.id for r in got.select("id").collect())
     assert ids == list(range(1, len(names) + 1))
+    small = number_rows(df, ["name"], "id")   # counted small: single bounded task
+    assert sorted(small.collect()) == sorted(want.collect())
 
 
 def _rows(spark, rows):
