@@ -37,9 +37,12 @@ def number_rows(df: DataFrame, order_cols: list, id_col: str,
     """
     spark = df.sparkSession
     sort = [_sort_col(c) for c in order_cols]
+    ensure_checkpoint_dir(spark)
+    # Compute the (typically distinct-name) input once; the size check and
+    # the numbering both read the checkpoint instead of recomputing it.
+    df = df.checkpoint(eager=True)
     if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort)).cast("bigint"))
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # Reliable checkpoint: fixes both the partition split and the in-partition

@@ -32,10 +32,17 @@ def article_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return el.select("page_id", "pos", "kind", P.strip_tags(body).alias("text"))
 
 
+def _article_text(chunk, kind):
+    body = (F.when(kind == "p", F.substring_index(chunk, "</p>", 1))
+            .otherwise(F.substring_index(chunk, "</h1>", 1)))
+    return P.strip_tags(body)
+
+
 def article_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: every paragraph with the (normalised) heading before it."""
-    el = article_elements(spark, sf_dir)
-    return P.with_section(el, "h1", F.col("text")).select("page_id", "pos", "section", "text")
+    el = P.page_sections(_pages(spark, sf_dir), ARTICLE_START, KIND_RE, "h1",
+                         lambda x: _article_text(x, F.regexp_extract(x, KIND_RE, 1)), keep=["page_id"])
+    return el.select("page_id", "pos", "section", _article_text(F.col("chunk"), F.col("kind")).alias("text"))
 
 
 def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,15 +50,18 @@ def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_listing(listing_pages(raw_matches(spark, sf_dir)))
 
 
+def ribbon_title(x):
+    """Ribbon text: the title link, else the title itself."""
+    return P.first_match(x, [
+        f'(?s)class="{P.RIBBON_TITLE}[^"]*"[^>]*>\\s*<a[^>]*>([^<]*)<',
+        f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<'])
+
+
 def parse_listing(pages: DataFrame) -> DataFrame:
     """Fixtures pages (page_id, season, competition_group, match_day, html)
     -> raw match fields."""
-    el = P.page_elements(pages, P.class_start(P.RIBBON, P.MATCH_CARD), 'class="([^" ]+)',
-                         keep=["page_id", "season", "competition_group", "match_day"])
-    title = P.first_match("chunk", [
-        f'(?s)class="{P.RIBBON_TITLE}[^"]*"[^>]*>\\s*<a[^>]*>([^<]*)<',
-        f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<'])
-    cards = P.with_section(el, P.RIBBON, title)
+    cards = P.page_sections(pages, P.class_start(P.RIBBON, P.MATCH_CARD), 'class="([^" ]+)', P.RIBBON,
+                            ribbon_title, keep=["page_id", "season", "competition_group", "match_day"])
     rows = P.parse_match_cards(cards)
     return rows.select("season", "phase", "competition_group", "competition",
                        F.col("match_day").alias("match_date"), "match_time", "home_team",
@@ -65,10 +75,10 @@ def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_standings_pages(pages: DataFrame) -> DataFrame:
-    el = P.page_elements(pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), 'class="([^" ]+)',
-                         keep=["page_id", "season", "competition_group"])
-    title = F.regexp_extract("chunk", f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<', 1)
-    tables = P.with_section(el, P.RIBBON, title, normalise=False, keep_empty=True)
+    tables = P.page_sections(
+        pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), 'class="([^" ]+)', P.RIBBON,
+        lambda x: F.regexp_extract(x, f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<', 1),
+        normalise=False, keep_empty=True, keep=["page_id", "season", "competition_group"])
     rows = P.parse_standings_rows(tables)
     return rows.select("season", "phase", "competition_group", "competition", "position", "team",
                        "played", "won", "drawn", "lost", "goals_for", "goals_against",
