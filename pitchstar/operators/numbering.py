@@ -44,6 +44,9 @@ def number_rows(df: DataFrame, order_cols: list, id_col: str,
     if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort)).cast("bigint"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a row hash as last range key lets Spark split a tied order value
+    # across partitions (ties are numbered in arbitrary order anyway)
+    sort = sort + [F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     # Reliable checkpoint: fixes both the partition split and the in-partition
     # order, so the ids below are reproducible under task retry.
@@ -60,3 +63,34 @@ def number_rows(df: DataFrame, order_cols: list, id_col: str,
     out = local.join(F.broadcast(offsets), "_pid", "left")
     return (out.withColumn(id_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).cast("bigint"))
             .drop("_pid", "_mid", "_pos", "_off"))
+
+
+def running_total(df: DataFrame, order_cols: list, value_col: str, out_col: str,
+                  exclusive: bool = False, num_partitions: int | None = None,
+                  single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+    """Append the running sum of ``value_col`` in the total order of
+    ``order_cols`` (``exclusive``: sum of the rows strictly before).
+
+    Same plan as ``number_rows``: counted-small inputs use one bounded
+    window task; larger ones are range-partitioned, checkpointed, summed
+    per partition, and each partition adds the total of the partitions
+    before it (one row per partition: a bounded broadcast)."""
+    spark = df.sparkSession
+    sort = [_sort_col(c) for c in order_cols]
+    ensure_checkpoint_dir(spark)
+    df = df.checkpoint(eager=True)
+    upto = Window.unboundedPreceding, (-1 if exclusive else 0)
+    if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
+        w = Window.orderBy(*sort).rowsBetween(*upto)
+        return df.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = sort + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    fixed = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)
+    local = fixed.withColumn("_pid", F.spark_partition_id())
+    w_local = Window.partitionBy("_pid").orderBy(*sort).rowsBetween(*upto)
+    local = local.withColumn("_local", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
+    sums = local.groupBy("_pid").agg(F.sum(value_col).alias("_s"))
+    offsets = sums.select("_pid", F.coalesce(F.sum("_s").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    out = local.join(F.broadcast(offsets), "_pid", "left")
+    return out.withColumn(out_col, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")

@@ -88,3 +88,25 @@ def test_limit_per_group_and_dedupe(spark):
     assert sorted(r.n for r in P.limit_per_group(df, "comp", 2, ["n"]).collect()) == [1, 1, 2]
     dd = P.dedupe_first(df, ["comp"], ["url"]).collect()
     assert sorted(r.url for r in dd) == ["u1", "u4"]
+
+
+def test_running_total_both_paths(spark):
+    from pitchstar.operators.numbering import running_total
+    df = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v")).repartition(5)
+    want = {r.k: r.t for r in df.withColumn(
+        "t", F.sum("v").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1))).collect()}
+    want = {k: (t or 0) for k, t in want.items()}
+    for stm in (0, 10**6):
+        got = {r.k: r.t for r in running_total(df, ["k"], "v", "t", exclusive=True,
+                                               num_partitions=6, single_task_max=stm).collect()}
+        assert got == want
+
+
+def test_number_rows_splits_ties(spark):
+    # a third of the rows share one order value: ids are still 1..n
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                     .otherwise(F.col("id").cast("string")).alias("k"), "id")
+    got = number_rows(df, ["k"], "rid", num_partitions=8, single_task_max=0)
+    assert sorted(r.rid for r in got.collect()) == list(range(1, 3001))
+    hot = [r.rid for r in got.filter("k = 'hot'").collect()]
+    assert len(hot) == 1000 and max(hot) - min(hot) == 999   # contiguous block
