@@ -22,18 +22,31 @@ log = logging.getLogger(__name__)
 RAW_TABLES = ["standings", "matches", "match_events"]
 
 
+# Storage layout of the facts: the columns the questions filter on, so
+# those filters prune files (season filters arrive as a semi-join from
+# dim_seasons, which dynamic partition pruning turns into a file filter).
+PARTITIONING = {
+    "fct_matches": ["season_id"],
+    "fct_team_matches": ["season_id"],
+    "fct_standings": ["season_id"],
+    "fct_match_events": ["competition_name"],
+}
+
+
 class StoredStar(Star):
     """A Star whose every model is written to ``db`` when first needed and
     then read back from there."""
 
-    def __init__(self, raw: dict[str, DataFrame], db: str, check_dims: bool = True):
+    def __init__(self, raw: dict[str, DataFrame], db: str, check_dims: bool = True,
+                 partitioning: dict | None = None):
         super().__init__(raw, check_dims)
         self.db = db
+        self.partitioning = PARTITIONING if partitioning is None else partitioning
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._m:
             df = getattr(self, "_" + name)()
-            self._m[name] = materialize(df, self.db, name)
+            self._m[name] = materialize(df, self.db, name, self.partitioning.get(name))
         return self._m[name]
 
 

@@ -74,7 +74,8 @@ def materialize(df: DataFrame, db: str, name: str, partition_by: list[str] | Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(f"{db}.{name}")
-    return df.sparkSession.table(f"{db}.{name}")
+    # partition columns come back last; keep the model's column order
+    return df.sparkSession.table(f"{db}.{name}").select(*df.columns)
 
 
 # A3
