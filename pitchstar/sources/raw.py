@@ -69,10 +69,16 @@ def create_database(spark: SparkSession, db: str, location: str | None = None) -
 # A4
 def materialize(df: DataFrame, db: str, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Full rebuild of ``db.name`` as a Parquet table; returns the stored
-    table so downstream models read it instead of recomputing."""
-    w = df.write.mode("overwrite").format("parquet")
+    table so downstream models read it instead of recomputing.
+
+    Partitioned writes are rebalanced on the partition columns first: AQE
+    groups each value's rows into few files and splits a value that is
+    too large (a hot partition) across several tasks."""
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        df_w = df.hint("rebalance", *partition_by)
+        w = df_w.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    else:
+        w = df.write.mode("overwrite").format("parquet")
     w.saveAsTable(f"{db}.{name}")
     # partition columns come back last; keep the model's column order
     return df.sparkSession.table(f"{db}.{name}").select(*df.columns)
