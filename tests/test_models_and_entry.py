@@ -70,3 +70,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
+
+
+def test_ask_composes_joins_and_rejects_unknown_fields(star):
+    from pitchstar.plans.ask import ask
+    goals = ask(star, "fct_match_events", {"goals": ("count", "event_id")}, ["player_name"],
+                {"event_type": "goal"}, top=(3, "goals"))
+    rows = goals.collect()
+    assert len(rows) == 3 and rows[0].goals >= rows[-1].goals
+    total = ask(star, "fct_match_events", {"n": ("count", "event_id")}, [], {"event_type": "goal"}).first().n
+    assert total == star["fct_match_events"].filter("event_type = 'goal'").count()
+    with pytest.raises(ValueError, match="Assists are not tracked"):
+        ask(star, "fct_match_events", {"n": ("count", "event_id")}, ["assists"])
+    with pytest.raises(ValueError, match="no relationship"):
+        ask(star, "fct_standings", {"n": ("count", "standings_id")}, ["player_name"])
