@@ -32,6 +32,12 @@ def squash_spaces(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
 
 
+def unify_name(c) -> Column:
+    """Apostrophe variants -> plain quote, whitespace collapsed and trimmed;
+    empty text stays empty."""
+    return squash_spaces(F.translate(_col(c), APOSTROPHES, "'" * len(APOSTROPHES)))
+
+
 def clean_name(c) -> Column:
     """Unify apostrophes, collapse whitespace, empty or NULL -> 'Unknown'."""
     x = squash_spaces(F.translate(_col(c), APOSTROPHES, "'" * len(APOSTROPHES)))

@@ -92,10 +92,27 @@ def pending(matches: DataFrame, keys: DataFrame, full_refresh: bool = False) ->
 
 
 # A11
-def prune_days(days: DataFrame, since: str | None, col: str = "match_day") -> DataFrame:
+def prune_days(days: DataFrame, since: str | None, col: str = "match_day",
+               retry_days: DataFrame | None = None) -> DataFrame:
     """Keep days on or after ``since`` (all when ``since`` is None). On a
-    table stored by day this is partition pruning."""
-    return days if not since else days.filter(F.col(col) >= F.lit(since).cast("date"))
+    table stored by day this is partition pruning.
+
+    Days before ``since`` are never revisited, so a result missing then
+    stays missing; ``retry_days`` (one ``col`` column, e.g. the days of
+    matches whose status is 'Missing result') adds those days back."""
+    if not since:
+        return days
+    kept = days.filter(F.col(col) >= F.lit(since).cast("date"))
+    if retry_days is not None:
+        back = days.join(retry_days.select(col).distinct(), col, "left_semi")
+        kept = kept.unionByName(back).distinct()
+    return kept
+
+
+def missing_result_days(int_matches: DataFrame, col: str = "match_day") -> DataFrame:
+    """Days that still have a match with status 'Missing result'."""
+    return int_matches.filter(F.col("match_status") == "Missing result") \
+        .select(F.col("match_date").alias(col)).distinct()
 
 
 # A12

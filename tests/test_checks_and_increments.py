@@ -98,3 +98,22 @@ def test_read_raw_as_text_tolerates_bad_numbers(spark, tmp_path):
                  "2025-2026,,G,C,1st,T,10,x,,1,5,3,2,9,/u,2026-01-31T20:55:51\n")
     r = R.read_raw(spark, str(p), "standings", as_text=True).first()
     assert (r.position, r.won, r.drawn, r.points) == (None, None, None, 9)
+
+
+def test_upsert_collapses_repeated_stored_keys(spark):
+    from pitchstar.operators.upsert import upsert
+    base = spark.createDataFrame([("a", "v1", 1), ("a", "v2", 2), ("b", "v1", 1)], "k string, v string, t int")
+    new = spark.createDataFrame([("c", "v1", 3)], "k string, v string, t int")
+    plain = sorted((r.k, r.v) for r in upsert(base, new, ["k"], ["t"]).collect())
+    assert plain == [("a", "v1"), ("a", "v2"), ("b", "v1"), ("c", "v1")]
+    col = sorted((r.k, r.v) for r in upsert(base, new, ["k"], ["t"], collapse_base=True).collect())
+    assert col == [("a", "v2"), ("b", "v1"), ("c", "v1")]
+
+
+def test_prune_days_with_retry(spark):
+    d = dt.date
+    days = spark.createDataFrame([(d(2025, 9, 1),), (d(2025, 9, 8),), (d(2025, 10, 6),)], "match_day date")
+    retry = spark.createDataFrame([(d(2025, 9, 8),)], "match_day date")
+    assert sorted(r.match_day for r in I.prune_days(days, "2025-10-01").collect()) == [d(2025, 10, 6)]
+    got = sorted(r.match_day for r in I.prune_days(days, "2025-10-01", retry_days=retry).collect())
+    assert got == [d(2025, 9, 8), d(2025, 10, 6)]
