@@ -106,3 +106,39 @@ def ensure_databases(spark: SparkSession, root: str, prefix: str) -> dict[str, s
     """raw / pre / prod / backup databases under ``root``."""
     return {k: create_database(spark, f"{prefix}_{k}", f"{root}/{prefix}_{k}.db")
             for k in ("raw", "pre", "prod", "backup")}
+
+
+def refresh(spark: SparkSession, batches: dict[str, DataFrame], dbs: dict[str, str],
+            stamp: str, as_of=None) -> tuple[bool, DataFrame, DataFrame]:
+    """The weekly flow as plain calls, in order:
+
+    1. prepare: back up production raw tables, start the working copy;
+    2. merge this run's collected rows into the working raw tables (A6);
+    3. build every model into the working database as tables;
+    4. run every check (Q1-Q7) over the stored models;
+    5. promote the working raw tables and models to production only if no
+       error-severity check failed (Q8, A14).
+
+    ``batches`` maps a raw table name to this run's rows. Returns
+    (published, check summary, before/after counts of production raw tables).
+    """
+    from ..operators.upsert import upsert
+    from ..schemas import RAW, UPSERT_KEYS
+    prepare(spark, dbs["prod"], dbs["pre"], dbs["backup"], stamp)
+    for t in RAW_TABLES:
+        base = (spark.table(f"{dbs['pre']}.{t}") if spark.catalog.tableExists(f"{dbs['pre']}.{t}")
+                else spark.createDataFrame([], RAW[t]))
+        new = batches.get(t)
+        merged = base if new is None else upsert(base, new, UPSERT_KEYS[t], ["scraped_at"])
+        # write the merge to the raw database first: a table cannot be
+        # overwritten by a job that reads it
+        materialize(merged, dbs["raw"], t)
+        materialize(spark.table(f"{dbs['raw']}.{t}"), dbs["pre"], t)
+    star = build_star_tables({t: spark.table(f"{dbs['pre']}.{t}") for t in RAW_TABLES}, dbs["pre"])
+    summary = C.run_checks(star, as_of)
+    summary = materialize(summary, dbs["pre"], "check_summary")
+    published, diff = promote(spark, dbs["pre"], dbs["prod"], summary)
+    if published:
+        for name in MODEL_NAMES:
+            copy_table(spark, f"{dbs['pre']}.{name}", f"{dbs['prod']}.{name}")
+    return published, summary, diff

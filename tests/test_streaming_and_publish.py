@@ -49,3 +49,30 @@ def test_prepare_and_promote_respect_gate(spark, tmp_path):
     ok, diff = PB.promote(spark, dbs["pre"], dbs["prod"], good, ["matches"])
     d = diff.first()
     assert ok and (d.before_rows, d.after_rows, d.change_text) == (1, 2, "+1")
+
+
+def test_refresh_flow_publishes_clean_data_and_blocks_bad(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from pitchstar.sources.fixtures import raw_tables
+    dbs = PB.ensure_databases(spark, str(tmp_path), "rf")
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    # the raw fixture has events of TBC teams (no team id): the run must be blocked
+    ok, summary, diff = PB.refresh(spark, raw, dbs, "s1", as_of="2100-01-01")
+    assert not ok
+    failing = {(r.model, r.column_name) for r in summary.filter("failures > 0 AND severity = 'error'").collect()}
+    assert ("fct_match_events", "team_id") in failing
+    assert not spark.catalog.tableExists(f"{dbs['prod']}.fct_matches")
+    # clean data: one row per match key, events and standings of those matches only
+    m = raw["matches"].dropDuplicates(["season", "competition", "match_date", "home_team", "away_team"]) \
+        .filter(~F.col("away_team").startswith("TBC") & F.col("phase").isNotNull())
+    s = raw["standings"].filter(F.col("phase").isNotNull())
+    m = m.join(s.select("season").distinct(), "season", "left_semi")   # seasons the standings know
+    e = raw["match_events"].join(m.select("match_url"), "match_url", "left_semi") \
+        .dropDuplicates(["match_url", "event_type", "team", "player_name", "minute"])
+    dbs2 = PB.ensure_databases(spark, str(tmp_path), "rf2")
+    ok2, summary2, diff2 = PB.refresh(spark, {"matches": m, "match_events": e, "standings": s}, dbs2, "s1",
+                                      as_of="2100-01-01")
+    bad = [(r.model, r.column_name, r.failures) for r in summary2.filter("failures > 0 AND severity = 'error'").collect()]
+    assert ok2, bad
+    assert spark.table(f"{dbs2['prod']}.fct_matches").count() == m.count()
