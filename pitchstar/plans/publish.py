@@ -50,11 +50,31 @@ class StoredStar(Star):
         return self._m[name]
 
 
-def build_star_tables(raw: dict[str, DataFrame], db: str) -> StoredStar:
-    """Write all 13 models to ``db`` in dependency order."""
+# Models in dependency waves: every model reads only models of earlier waves.
+WAVES = [
+    ["stg_standings", "stg_matches", "stg_match_events"],
+    ["int_matches", "dim_seasons", "dim_phases", "dim_teams", "dim_players"],
+    ["int_team_matches", "fct_matches", "fct_team_matches", "fct_match_events", "fct_standings"],
+]
+
+
+def build_star_tables(raw: dict[str, DataFrame], db: str, threads: int = 4) -> StoredStar:
+    """Write all 13 models to ``db``, wave by wave; the models of one wave
+    are independent, so up to ``threads`` of their jobs run at once (Spark
+    accepts jobs from several threads of one session), like a warehouse
+    building independent models concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
     star = StoredStar(raw, db)
-    for name in MODEL_NAMES:
-        star[name]
+    for wave in WAVES:
+        if threads <= 1:
+            for name in wave:
+                star[name]
+            continue
+        if "fct_matches" in wave:
+            # size checks of the growing dims, once, before the facts use them
+            star.small("dim_teams"), star.small("dim_players")
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            list(pool.map(lambda n: star[n], wave))
     return star
 
 
