@@ -90,16 +90,19 @@ def has_rows(spark: SparkSession, db: str, tables: list[str]) -> bool:
 # A13
 def prepare(spark: SparkSession, prod: str, pre: str, backup: str, stamp: str,
             tables: list[str] = RAW_TABLES) -> list[str]:
-    """Snapshot production tables into ``backup`` as ``<table>_<stamp>`` and
-    start the working copy ``pre`` from production. Nothing happens when
-    production is empty (first run)."""
-    if not has_rows(spark, prod, tables):
-        log.info("production %s is empty: no backup, working copy starts empty", prod)
-        return []
+    """Snapshot production tables into ``backup`` as ``<table>_<stamp>``
+    (skipped when production is empty), then reset the working copy ``pre``
+    and start it from production. Returns the tables copied."""
+    if has_rows(spark, prod, tables):
+        for t in tables:
+            if spark.catalog.tableExists(f"{prod}.{t}"):
+                copy_table(spark, f"{prod}.{t}", f"{backup}.{t}_{stamp}")
+    else:
+        log.info("production %s is empty: no backup taken", prod)
     done = []
     for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {pre}.{t}")
         if spark.catalog.tableExists(f"{prod}.{t}"):
-            copy_table(spark, f"{prod}.{t}", f"{backup}.{t}_{stamp}")
             copy_table(spark, f"{prod}.{t}", f"{pre}.{t}")
             done.append(t)
     return done

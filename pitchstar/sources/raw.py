@@ -87,11 +87,10 @@ def materialize(df: DataFrame, db: str, name: str, partition_by: list[str] | Non
 # A3
 def load_raw(spark: SparkSession, path: str, db: str, table: str, fmt: str = "csv") -> int:
     """Truncate-and-load one raw table from ``path``; returns the row count.
-    A missing input loads an empty table and logs a warning."""
+    A missing input is skipped with a warning (the table is left as it is)
+    and counts 0."""
     if not path_exists(spark, path):
-        log.warning("raw input %s is missing; loading 0 rows into %s.%s", path, db, table)
-        spark.createDataFrame([], RAW[table]).write.mode("overwrite").format("parquet") \
-            .saveAsTable(f"{db}.{table}")
+        log.warning("raw input %s is missing; %s.%s not loaded", path, db, table)
         return 0
     obs = Observation(f"load_{table}_{uuid.uuid4().hex[:8]}")
     df = read_raw(spark, path, table, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -120,7 +119,7 @@ def diff_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     j = b.join(a, "table_name", "full")
     d = F.coalesce(F.col("after_rows"), F.lit(0)) - F.coalesce(F.col("before_rows"), F.lit(0))
     return j.select("table_name", "before_rows", "after_rows", d.alias("change"),
-                    F.when(d > 0, F.concat(F.lit("+"), d.cast("string")))
+                    F.when(d >= 0, F.concat(F.lit("+"), d.cast("string")))
                     .otherwise(d.cast("string")).alias("change_text"))
 
 

@@ -35,7 +35,10 @@ def test_stream_ingest_newest_wins_and_replay_safe(spark, tmp_path):
 
 def test_prepare_and_promote_respect_gate(spark, tmp_path):
     dbs = PB.ensure_databases(spark, str(tmp_path), "t")
+    R.materialize(_m(spark, "/f/9", 1, dt.datetime(2026, 1, 1)), dbs["pre"], "matches")   # stale
     assert PB.prepare(spark, dbs["prod"], dbs["pre"], dbs["backup"], "s0") == []   # empty prod
+    assert not spark.catalog.tableExists(f"{dbs['pre']}.matches")                 # working copy reset
+    assert not spark.catalog.tableExists(f"{dbs['backup']}.matches_s0")
     R.materialize(_m(spark, "/f/1", 1, dt.datetime(2026, 1, 1)), dbs["prod"], "matches")
     assert PB.prepare(spark, dbs["prod"], dbs["pre"], dbs["backup"], "s1", ["matches"]) == ["matches"]
     assert spark.table(f"{dbs['backup']}.matches_s1").count() == 1
