@@ -118,7 +118,8 @@ def promote(spark: SparkSession, pre: str, prod: str, summary: DataFrame,
     ok = C.passed(summary)
     if ok:
         for t in tables:
-            copy_table(spark, f"{pre}.{t}", f"{prod}.{t}")
+            if spark.catalog.tableExists(f"{pre}.{t}"):
+                copy_table(spark, f"{pre}.{t}", f"{prod}.{t}")
     else:
         log.warning("checks failed: production %s left untouched", prod)
     b = spark.createDataFrame(before_rows, before.schema)
