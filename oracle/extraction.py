@@ -67,7 +67,9 @@ def page_dedupe() -> str:
 
 
 def page_cap() -> str:
-    return _rows_cte(f"""SELECT * FROM parsed QUALIFY row_number() OVER (
+    return _rows_cte(f""", dedup AS (SELECT * FROM parsed QUALIFY row_number() OVER (
+  PARTITION BY season, match_date, home_team, away_team ORDER BY match_url) = 1)
+SELECT * FROM dedup QUALIFY row_number() OVER (
   PARTITION BY competition ORDER BY match_date, match_url) <= {X.CAP_PER_COMPETITION}""")
 
 

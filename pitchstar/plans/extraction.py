@@ -109,8 +109,9 @@ def dedupe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capped_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most CAP_PER_COMPETITION matches per competition."""
-    return P.limit_per_group(parsed_matches(spark, sf_dir), "competition", CAP_PER_COMPETITION,
+    """At most CAP_PER_COMPETITION matches per competition, counting
+    only cards kept by the in-run dedupe (B8), in processing order."""
+    return P.limit_per_group(dedupe_matches(spark, sf_dir), "competition", CAP_PER_COMPETITION,
                              ["match_date", "match_url"])
 
 
