@@ -44,10 +44,11 @@ def events_in(star: Star, seasons=None, competitions=None, event_type=None) -> D
     return e
 
 
-def match_seasons(star: Star) -> DataFrame:
+def match_seasons(star: Star, seasons=None) -> DataFrame:
     """match_id -> season_name, one row per match_id (the id hashes the
-    season, so repeats of an id share it)."""
-    ms = star["fct_matches"].select("match_id", "season_id").dropDuplicates(["match_id"])
+    season, so repeats of an id share it); only the given seasons if any."""
+    m = star["fct_matches"] if seasons is None else matches_in(star, seasons)
+    ms = m.select("match_id", "season_id").dropDuplicates(["match_id"])
     return ms.join(F.broadcast(star["dim_seasons"].select("season_id", "season_name")),
                    "season_id", "left").select("match_id", "season_name")
 
@@ -189,8 +190,9 @@ def scorer_consistency(star: Star, seasons: list[str], competitions=None) -> Dat
     """Goals per player per season side by side; a season without goals is
     NULL (blank). The season list is fixed, so the pivot skips the
     value-discovery job."""
-    g = events_in(star, seasons, competitions, "goal")
-    g = g.join(match_seasons(star), "match_id", "inner")
+    # one inner join both restricts to the seasons and names the season
+    g = events_in(star, None, competitions, "goal")
+    g = g.join(match_seasons(star, seasons), "match_id", "inner")
     per = g.groupBy("player_id", "season_name").agg(F.count(F.lit(1)).alias("goals"))
     wide = per.groupBy("player_id").pivot("season_name", list(seasons)).agg(F.first("goals"))
     wide = _with_player_names(wide, star)

@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import collected_at
 from ..schemas import MATCH_EVENTS, MATCHES, STANDINGS
 from .tables import read_table
 
@@ -68,7 +69,7 @@ def _matches_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(scored, k % 5).cast("bigint").alias("away_score"),
         F.when(k % 15 != 0, F.col("c_name")).alias("venue"),
         F.concat(F.lit("/fixtures/"), k.cast("string")).alias("match_url"),
-        F.lit(COLLECTED_AT).cast("timestamp_ntz").alias("scraped_at"),
+        collected_at(COLLECTED_AT).alias("scraped_at"),
         k.alias("_orderkey"), F.col("h_key").alias("_home_key"), F.col("a_key").alias("_away_key"),
     )
 
@@ -137,7 +138,7 @@ def raw_standings(spark: SparkSession, sf_dir: str, keyed: DataFrame | None = No
         "played", "won", "drawn", "lost", "goals_for", "goals_against",
         "goal_difference", "points",
         F.concat(F.lit("/standings/"), F.col("season")).alias("standings_url"),
-        F.lit(COLLECTED_AT).cast("timestamp_ntz").alias("scraped_at"),
+        collected_at(COLLECTED_AT).alias("scraped_at"),
     ).select(*STANDINGS.fieldNames())
 
 
