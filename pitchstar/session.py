@@ -63,3 +63,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="pitchstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
+    """Sizing for a large cluster, to pass as ``extra`` (or spark-submit
+    --conf). Scan splits of 256 MB keep a 100 TB scan near 400k tasks;
+    shuffles start with enough partitions for ~200 MB each at the largest
+    stage (the event fact) and AQE coalesces them down to ~128 MB; skew
+    splitting kicks in at 5x the median and 512 MB.
+
+    Each task's working set (one 256 MB split or one ~128-256 MB shuffle
+    partition) fits an executor core's share of memory with room to spill.
+    """
+    largest_stage_bytes = input_tb * 1e12 * 0.4        # the event fact dominates
+    shuffle_parts = max(3 * total_cores, int(largest_stage_bytes / 200e6))
+    return {
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # dims under 64 MB are broadcast by Spark itself (size statistics)
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
