@@ -156,16 +156,24 @@ def fct_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
 
 
 def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
-                     teams: DataFrame, teams_small: bool | None = None) -> DataFrame:
+                     teams: DataFrame, teams_small: bool | None = None,
+                     fan_out: bool = True) -> DataFrame:
     """Team perspective with scores and five keys.
 
-    Scores come from a left join on match_id, so a repeated match_id fans
-    out exactly as the model's join does (k rows -> k*k per side). The join
-    reads match_id and the two scores only; AQE splits a hot match_id.
+    ``fan_out=True`` (the model's semantics): scores come from a left join
+    on match_id, so a repeated match_id fans out exactly as the model's join
+    does (k rows -> k*k per side). Repeated ids only occur in data that
+    fails the error-severity unique test on match_id, which blocks
+    publication; the join reads match_id and the two scores only and AQE
+    splits a hot id. ``fan_out=False`` carries each row's own scores through
+    the explode (one scan, no join): identical whenever match_id is unique.
     """
-    scores = int_m.select(F.col("match_id").alias("_sid"), "home_score", "away_score")
-    base = int_m.drop("home_score", "away_score")
-    ws = base.join(scores, base.match_id == scores._sid, "left").drop("_sid")
+    if fan_out:
+        scores = int_m.select(F.col("match_id").alias("_sid"), "home_score", "away_score")
+        base = int_m.drop("home_score", "away_score")
+        ws = base.join(scores, base.match_id == scores._sid, "left").drop("_sid")
+    else:
+        ws = int_m
     tm = _perspectives(ws, _TEAM_CTX, carry=["home_score", "away_score"])
     tm = tm.withColumn("team_match_id", surrogate_key("match_id", "team"))
     f = lookup_fk(tm, seasons, "season", "season_name", "season_id", small=True)

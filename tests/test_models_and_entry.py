@@ -84,3 +84,14 @@ def test_ask_composes_joins_and_rejects_unknown_fields(star):
         ask(star, "fct_match_events", {"n": ("count", "event_id")}, ["assists"])
     with pytest.raises(ValueError, match="no relationship"):
         ask(star, "fct_standings", {"n": ("count", "standings_id")}, ["player_name"])
+
+
+def test_team_matches_without_fan_out_equals_model_on_unique_ids(star):
+    from pitchstar.plans.models import fct_team_matches
+    uniq = star["int_matches"].groupBy("match_id").count().filter("count = 1").select("match_id")
+    im = star["int_matches"].join(uniq, "match_id", "left_semi")
+    args = (im, star["dim_seasons"], star["dim_phases"], star["dim_teams"])
+    a = fct_team_matches(*args, fan_out=True)
+    b = fct_team_matches(*args, fan_out=False)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert b.count() == 2 * im.count()
