@@ -58,25 +58,29 @@ def _path(star, table: str, field: str, depth: int = 2):
     return None
 
 
-def _resolve(star, base: str, df: DataFrame, field: str, joined: dict) -> DataFrame:
-    if field in df.columns:
-        return df
-    if field in NOT_AVAILABLE:
-        raise ValueError(f"{field}: {NOT_AVAILABLE[field]}")
-    hops = _path(star, base, field)
-    if hops is None:
-        raise ValueError(f"{field}: no relationship from {base} reaches this field")
-    key = base
-    for i, (fk, parent, pk) in enumerate(hops):
-        key = f"{key}>{parent}"
-        if key in joined:
+def _joins(star, base: str, df: DataFrame, fields: list[str]) -> DataFrame:
+    """Join every parent needed by ``fields`` once, with all the columns
+    any field needs from it (parents are reduced to one row per key)."""
+    need: dict[str, list] = {}        # hop chain -> [fk, parent, pk, cols]
+    for field in fields:
+        if field in df.columns:
             continue
-        last = i == len(hops) - 1
-        nxt = hops[i + 1][0] if not last else None
-        cols = [c for c in ([field] if last else [nxt]) if c != pk]
-        p = star[parent].select(F.col(pk).alias(f"_pk{len(joined)}"), *cols).dropDuplicates([f"_pk{len(joined)}"])
-        df = df.join(p, df[fk] == p[f"_pk{len(joined)}"], "left").drop(f"_pk{len(joined)}")
-        joined[key] = True
+        if field in NOT_AVAILABLE:
+            raise ValueError(f"{field}: {NOT_AVAILABLE[field]}")
+        hops = _path(star, base, field)
+        if hops is None:
+            raise ValueError(f"{field}: no relationship from {base} reaches this field")
+        chain = base
+        for i, (fk, parent, pk) in enumerate(hops):
+            chain = f"{chain}>{fk}>{parent}"
+            entry = need.setdefault(chain, [fk, parent, pk, []])
+            col = field if i == len(hops) - 1 else hops[i + 1][0]
+            if col != pk and col not in entry[3]:
+                entry[3].append(col)
+    for i, (fk, parent, pk, cols) in enumerate(need.values()):   # parents before children
+        k = f"_pk{i}"
+        p = star[parent].select(F.col(pk).alias(k), *cols).dropDuplicates([k])
+        df = df.join(p, df[fk] == p[k], "left").drop(k)
     return df
 
 
@@ -87,13 +91,11 @@ def ask(star, base: str, measures: dict, dims: list[str], filters: dict | None =
     by the dimension values)."""
     filters = filters or {}
     df = star[base]
-    joined: dict = {}
     # filters on the base table first, so they reach the scan
     for f, v in filters.items():
         if f in df.columns:
             df = df.filter(F.col(f).isin(v if isinstance(v, list) else [v]))
-    for f in list(filters) + list(dims):
-        df = _resolve(star, base, df, f, joined)
+    df = _joins(star, base, df, list(filters) + list(dims))
     for f, v in filters.items():
         df = df.filter(F.col(f).isin(v if isinstance(v, list) else [v]))
     aggs = [AGGS[a](F.col(c)).alias(alias) for alias, (a, c) in measures.items()]

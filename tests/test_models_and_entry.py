@@ -95,3 +95,11 @@ def test_team_matches_without_fan_out_equals_model_on_unique_ids(star):
     b = fct_team_matches(*args, fan_out=False)
     assert sorted(a.collect()) == sorted(b.collect())
     assert b.count() == 2 * im.count()
+
+
+def test_ask_two_fields_through_one_hop(star):
+    from pitchstar.plans.ask import ask
+    got = ask(star, "fct_match_events", {"n": ("count", "event_id")}, ["season_name", "phase_name"],
+              {"event_type": "card"})
+    assert set(got.columns) == {"season_name", "phase_name", "n"}
+    assert sum(r.n for r in got.collect()) == star["fct_match_events"].filter("event_type = 'card'").count()
