@@ -48,10 +48,25 @@ def read_version(spark: SparkSession, table_root: str, table: str,
     return spark.read.schema(RAW[table]).parquet(f"{table_root}/v{vs[-1]:09d}")
 
 
+def prune_versions(spark: SparkSession, table_root: str, keep: int = 3) -> list[int]:
+    """Delete all but the newest ``keep`` completed versions (at least 2 are
+    kept: a replay of the last micro-batch reads the version before it).
+    Returns the versions deleted."""
+    keep = max(keep, 2)
+    vs = versions(spark, table_root)
+    old = vs[:-keep] if len(vs) > keep else []
+    fs, _ = _fs(spark, table_root)
+    jvm = spark.sparkContext._jvm
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_root}/v{v:09d}"), True)
+    return old
+
+
 def ingest(spark: SparkSession, drops_dir: str, state_root: str, table: str,
-           max_files_per_batch: int = 1000) -> DataFrame:
+           max_files_per_batch: int = 1000, keep_versions: int = 3) -> DataFrame:
     """Merge every new drop file of ``drops_dir`` into ``state_root/table``
-    and return the newest table version."""
+    and return the newest table version; older versions beyond
+    ``keep_versions`` are removed once the stream has finished."""
     keys = UPSERT_KEYS[table]
     table_root = f"{state_root}/{table}"
 
@@ -66,4 +81,5 @@ def ingest(spark: SparkSession, drops_dir: str, state_root: str, table: str,
          .option("checkpointLocation", f"{state_root}/_streams/{table}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    prune_versions(spark, table_root, keep_versions)
     return read_version(spark, table_root, table)
