@@ -4,9 +4,12 @@ from pitchstar.plans.expressions import ICON_NAMES
 
 from .models import with_models
 
+# whitespace as Python's str.split() sees it (rule, not a list)
+WS = "[" + "".join(c for c in map(chr, range(0x110000)) if c.isspace()) + "]"
+
 
 def squash(x: str) -> str:
-    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '{WS}+', ' ', 'g'))"
 
 
 def names() -> str:

@@ -8,13 +8,16 @@ from .models import with_models
 
 START = X.ARTICLE_START
 
+# whitespace as Python's str.split() sees it (rule, not a list)
+WS = "[" + "".join(c for c in map(chr, range(0x110000)) if c.isspace()) + "]"
+
 
 def strip(x: str) -> str:
-    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '{WS}+', ' ', 'g'))"
 
 
 def clean(x: str) -> str:
-    t = f"trim(regexp_replace(translate({x}, '’‘ʼ', ''''''''''), '\\s+', ' ', 'g'))"
+    t = f"trim(regexp_replace(translate({x}, '’‘ʼ', ''''''''''), '{WS}+', ' ', 'g'))"
     return f"coalesce(nullif({t}, ''), 'Unknown')"
 
 
@@ -100,9 +103,9 @@ FROM raw_match_events""")
 
 
 def page_events() -> str:
-    return with_models("""
+    return with_models(f"""
 SELECT match_url, team, event_type, event_subtype,
-  trim(regexp_replace(player_name, '\\s+', ' ', 'g')) AS player_name, "minute" AS "minute"
+  trim(regexp_replace(player_name, '{WS}+', ' ', 'g')) AS player_name, "minute" AS "minute"
 FROM raw_match_events""")
 
 

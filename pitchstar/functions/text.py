@@ -19,6 +19,10 @@ ICON_EVENTS = [
     ("red-card", "card", "Red"),
 ]
 ICON_SUFFIX = "-match-details"
+# Whitespace as Python's str.split() sees it (the collector collapses names
+# with split/join), built from the rule rather than listed: 29 characters.
+WHITESPACE_CLASS = "[" + "".join(c for c in map(chr, range(0x110000)) if c.isspace()) + "]"
+
 MONTHS = ["January", "February", "March", "April", "May", "June", "July",
           "August", "September", "October", "November", "December"]
 
@@ -28,8 +32,9 @@ def _col(c) -> Column:
 
 
 def squash_spaces(c) -> Column:
-    """Collapse runs of whitespace to one space and trim."""
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    """Collapse runs of whitespace (Unicode spaces included) to one space
+    and trim."""
+    return F.trim(F.regexp_replace(_col(c), WHITESPACE_CLASS + "+", " "))
 
 
 def unify_name(c) -> Column:

@@ -23,6 +23,8 @@ def test_clean_name(spark):
     assert one(spark, T.clean_name, "Womenʼs") == "Women's"
     assert one(spark, T.clean_name, "   ") == "Unknown"
     assert one(spark, T.clean_name, None) == "Unknown"
+    # Unicode spaces collapse too, as Python's str.split() does
+    assert one(spark, T.clean_name, "\u00a0Division\u2003 1\u3000North ") == "Division 1 North"
 
 
 def test_phase_of_order_matters(spark):
