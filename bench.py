@@ -57,7 +57,7 @@ def main() -> None:
     csv = {}
     for t, df in raw_tables(spark, sf_dir, share=True).items():
         csv[t] = f"{work}/collected/{t}"
-        write_rows(df, csv[t])
+        write_rows(df, csv[t], table=t)
 
     def load():
         for t, p in csv.items():

@@ -14,7 +14,8 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks as C
-from ..sources.raw import create_database, diff_counts, materialize, table_counts
+from ..sources.raw import (create_database, diff_counts, drop_table, materialize, save_table,
+                           table_counts)
 from .models import MODEL_NAMES, Star
 
 log = logging.getLogger(__name__)
@@ -79,7 +80,8 @@ def build_star_tables(raw: dict[str, DataFrame], db: str, threads: int = 4) -> S
 
 
 def copy_table(spark: SparkSession, src: str, dst: str) -> None:
-    spark.table(src).write.mode("overwrite").format("parquet").saveAsTable(dst)
+    db, name = dst.split(".", 1)
+    save_table(spark.table(src), db, name)
 
 
 def has_rows(spark: SparkSession, db: str, tables: list[str]) -> bool:
@@ -101,7 +103,7 @@ def prepare(spark: SparkSession, prod: str, pre: str, backup: str, stamp: str,
         log.info("production %s is empty: no backup taken", prod)
     done = []
     for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {pre}.{t}")
+        drop_table(spark, pre, t)
         if spark.catalog.tableExists(f"{prod}.{t}"):
             copy_table(spark, f"{prod}.{t}", f"{pre}.{t}")
             done.append(t)
@@ -126,10 +128,35 @@ def promote(spark: SparkSession, pre: str, prod: str, summary: DataFrame,
     return ok, diff_counts(b, table_counts(spark, prod, tables))
 
 
+def attach_tables(spark: SparkSession, db: str, location: str) -> list[str]:
+    """Register every table folder under a database's location that the
+    session's catalog does not know yet (e.g. written by an earlier run when
+    the catalog is not persistent), as an external Parquet table. Partition
+    folders are discovered from the layout."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    added = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")) \
+                and not spark.catalog.tableExists(f"{db}.{name}"):
+            spark.catalog.createTable(f"{db}.{name}", path=st.getPath().toString(), source="parquet")
+            added.append(name)
+    return added
+
+
 def ensure_databases(spark: SparkSession, root: str, prefix: str) -> dict[str, str]:
-    """raw / pre / prod / backup databases under ``root``."""
-    return {k: create_database(spark, f"{prefix}_{k}", f"{root}/{prefix}_{k}.db")
-            for k in ("raw", "pre", "prod", "backup")}
+    """raw / pre / prod / backup databases under ``root``; tables left there
+    by earlier runs are attached, so production carries over between runs."""
+    dbs = {}
+    for k in ("raw", "pre", "prod", "backup"):
+        loc = f"{root}/{prefix}_{k}.db"
+        dbs[k] = create_database(spark, f"{prefix}_{k}", loc)
+        attach_tables(spark, dbs[k], loc)
+    return dbs
 
 
 def refresh(spark: SparkSession, batches: dict[str, DataFrame], dbs: dict[str, str],

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.errors import AnalysisException
 
 from ..functions.casts import typed
 from ..schemas import RAW
@@ -27,25 +27,33 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8",
 
 
 # A1
-def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv",
-             as_text: bool = False) -> DataFrame:
-    """Read one raw table with its fixed schema (CSV or Parquet).
-
-    ``as_text=True`` reads every CSV field as text and applies the schema
-    with ``typed`` (try_cast): a malformed number becomes NULL instead of
-    failing the load."""
+def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
+    """Read one raw table (CSV or Parquet) into its declared schema.
+
+    CSV columns are matched by header name, as a keyed-dict reader does: a
+    file may list the columns in any order, a missing column reads as NULL,
+    extra columns are ignored. Text is converted with ``typed`` (try_cast):
+    a malformed number or date becomes NULL instead of failing the load.
+    Empty fields are NULL."""
     schema = RAW[table]
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
-    if as_text:
-        text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-        return typed(spark.read.schema(text).options(**CSV_OPTIONS).csv(path), schema)
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    try:
+        text = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    except AnalysisException:      # an existing folder without data files
+        return spark.createDataFrame([], schema)
+    have = set(text.columns)
+    cols = [(F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast("string")).alias(f.name)
+            for f in schema.fields]
+    return typed(text.select(*cols), schema)
 
 
 # A5
-def write_rows(df: DataFrame, path: str, overwrite: bool = True) -> None:
-    """Header CSV sink; ``overwrite=False`` appends new part files."""
+def write_rows(df: DataFrame, path: str, overwrite: bool = True, table: str | None = None) -> None:
+    """Header CSV sink; ``overwrite=False`` appends new part files. With
+    ``table`` the columns are written in that raw table's declared order."""
+    if table:
+        df = df.select(*RAW[table].fieldNames())
     df.write.mode("overwrite" if overwrite else "append").options(**CSV_OPTIONS).csv(path)
 
 
@@ -60,6 +68,33 @@ def source(spark: SparkSession, db: str, table: str) -> DataFrame:
     return spark.table(f"{db}.{table}")
 
 
+def table_path(spark: SparkSession, db: str, name: str) -> str:
+    """Folder of ``db.name``: under the database's location. Tables are
+    written there as external tables, so a later session (or a catalog
+    that does not persist) can attach and overwrite them."""
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/") + "/" + name
+
+
+def drop_table(spark: SparkSession, db: str, name: str) -> None:
+    """Drop ``db.name`` and delete its folder (dropping an external table
+    alone would leave the data to be attached again)."""
+    path = table_path(spark, db, name)
+    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def save_table(df: DataFrame, db: str, name: str, partition_by: list[str] | None = None) -> None:
+    """Overwrite ``db.name`` as an external Parquet table at ``table_path``."""
+    w = df.write.mode("overwrite").format("parquet").option("path", table_path(df.sparkSession, db, name))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(f"{db}.{name}")
+
+
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> str:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
@@ -74,12 +109,7 @@ def materialize(df: DataFrame, db: str, name: str, partition_by: list[str] | Non
     Partitioned writes are rebalanced on the partition columns first: AQE
     groups each value's rows into few files and splits a value that is
     too large (a hot partition) across several tasks."""
-    if partition_by:
-        df_w = df.hint("rebalance", *partition_by)
-        w = df_w.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
-    else:
-        w = df.write.mode("overwrite").format("parquet")
-    w.saveAsTable(f"{db}.{name}")
+    save_table(df.hint("rebalance", *partition_by) if partition_by else df, db, name, partition_by)
     # partition columns come back last; keep the model's column order
     return df.sparkSession.table(f"{db}.{name}").select(*df.columns)
 
@@ -94,7 +124,7 @@ def load_raw(spark: SparkSession, path: str, db: str, table: str, fmt: str = "cs
         return 0
     obs = Observation(f"load_{table}_{uuid.uuid4().hex[:8]}")
     df = read_raw(spark, path, table, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"{db}.{table}")
+    save_table(df, db, table)
     return int(obs.get["rows"])
 
 

@@ -75,7 +75,10 @@ def ingest(spark: SparkSession, drops_dir: str, state_root: str, table: str,
         merged = upsert_newest(base, batch, keys, ["scraped_at"])
         merged.write.mode("overwrite").parquet(f"{table_root}/v{batch_id:09d}")
 
+    # the file stream needs a positional schema: enforceSchema=false makes a
+    # file whose header differs from it fail instead of shifting columns
     stream = (spark.readStream.schema(RAW[table]).options(**CSV_OPTIONS)
+              .option("enforceSchema", "false")
               .option("maxFilesPerTrigger", max_files_per_batch).csv(drops_dir))
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", f"{state_root}/_streams/{table}")

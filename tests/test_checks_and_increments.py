@@ -91,12 +91,12 @@ def test_event_work_limit(spark):
     assert I.event_work(dec).count() == 5
 
 
-def test_read_raw_as_text_tolerates_bad_numbers(spark, tmp_path):
+def test_read_raw_tolerates_bad_numbers(spark, tmp_path):
     p = tmp_path / "s.csv"
     p.write_text("season,phase,competition_group,competition,position,team,played,won,drawn,lost,"
                  "goals_for,goals_against,goal_difference,points,standings_url,scraped_at\n"
                  "2025-2026,,G,C,1st,T,10,x,,1,5,3,2,9,/u,2026-01-31T20:55:51\n")
-    r = R.read_raw(spark, str(p), "standings", as_text=True).first()
+    r = R.read_raw(spark, str(p), "standings").first()
     assert (r.position, r.won, r.drawn, r.points) == (None, None, None, 9)
 
 
@@ -117,3 +117,13 @@ def test_prune_days_with_retry(spark):
     assert sorted(r.match_day for r in I.prune_days(days, "2025-10-01").collect()) == [d(2025, 10, 6)]
     got = sorted(r.match_day for r in I.prune_days(days, "2025-10-01", retry_days=retry).collect())
     assert got == [d(2025, 9, 8), d(2025, 10, 6)]
+
+
+def test_read_raw_maps_columns_by_header_name(spark, tmp_path):
+    p = tmp_path / "e.csv"
+    p.write_text("match_url,season,minute,player_name,event_type,extra\n"
+                 "/f/1,2025-2026,12,A B,goal,zzz\n")
+    r = R.read_raw(spark, str(p), "match_events").first()
+    assert (r.match_url, r.season, r.minute, r.player_name, r.event_type) == ("/f/1", "2025-2026", 12, "A B", "goal")
+    assert r.team is None and r.match_date is None
+    assert R.read_raw(spark, str(p), "match_events").columns == R.RAW["match_events"].fieldNames()

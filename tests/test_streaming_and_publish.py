@@ -68,15 +68,33 @@ def test_refresh_flow_publishes_clean_data_and_blocks_bad(spark, tmp_path):
     assert ("fct_match_events", "team_id") in failing
     assert not spark.catalog.tableExists(f"{dbs['prod']}.fct_matches")
     # clean data: one row per match key, events and standings of those matches only
-    m = raw["matches"].dropDuplicates(["season", "competition", "match_date", "home_team", "away_team"]) \
-        .filter(~F.col("away_team").startswith("TBC") & F.col("phase").isNotNull())
+    from pitchstar.operators.pages import dedupe_first
+    # deterministic first-wins dedupe: matches and events must see the same rows
+    m = dedupe_first(raw["matches"], ["season", "competition", "match_date", "home_team", "away_team"],
+                     ["match_url"]).filter(~F.col("away_team").startswith("TBC") & F.col("phase").isNotNull())
     s = raw["standings"].filter(F.col("phase").isNotNull())
     m = m.join(s.select("season").distinct(), "season", "left_semi")   # seasons the standings know
-    e = raw["match_events"].join(m.select("match_url"), "match_url", "left_semi") \
-        .dropDuplicates(["match_url", "event_type", "team", "player_name", "minute"])
+    e = dedupe_first(raw["match_events"].join(m.select("match_url"), "match_url", "left_semi"),
+                     ["match_url", "event_type", "team", "player_name", "minute"], ["event_subtype"])
     dbs2 = PB.ensure_databases(spark, str(tmp_path), "rf2")
     ok2, summary2, diff2 = PB.refresh(spark, {"matches": m, "match_events": e, "standings": s}, dbs2, "s1",
                                       as_of="2100-01-01")
     bad = [(r.model, r.column_name, r.failures) for r in summary2.filter("failures > 0 AND severity = 'error'").collect()]
     assert ok2, bad
     assert spark.table(f"{dbs2['prod']}.fct_matches").count() == m.count()
+
+
+def test_databases_reattach_tables_of_earlier_runs(spark, tmp_path):
+    dbs = PB.ensure_databases(spark, str(tmp_path), "ra")
+    R.materialize(_m(spark, "/f/1", 1, dt.datetime(2026, 1, 1)), dbs["prod"], "matches")
+    # a session whose catalog forgot the table (as a new process would)
+    spark.sql(f"DROP TABLE {dbs['prod']}.matches")          # external: files stay
+    assert not spark.catalog.tableExists(f"{dbs['prod']}.matches")
+    dbs2 = PB.ensure_databases(spark, str(tmp_path), "ra")
+    assert spark.table(f"{dbs2['prod']}.matches").count() == 1
+    # overwriting an attached table works, and dropping a working table removes its data
+    R.materialize(_m(spark, "/f/2", 1, dt.datetime(2026, 1, 1)), dbs2["prod"], "matches")
+    assert [r.match_url for r in spark.table(f"{dbs2['prod']}.matches").collect()] == ["/f/2"]
+    R.drop_table(spark, dbs2["prod"], "matches")
+    PB.ensure_databases(spark, str(tmp_path), "ra")
+    assert not spark.catalog.tableExists(f"{dbs2['prod']}.matches")
