@@ -25,6 +25,11 @@ def test_clean_name(spark):
     assert one(spark, T.clean_name, None) == "Unknown"
     # Unicode spaces collapse too, as Python's str.split() does
     assert one(spark, T.clean_name, "\u00a0Division\u2003 1\u3000North ") == "Division 1 North"
+    # exactly Python's str.isspace() set collapses, nothing else
+    ws = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+    assert one(spark, T.clean_name, "a" + ws + "b") == "a b"
+    non_ws = "\u200b\u00ad\ufeff"
+    assert one(spark, T.clean_name, "a" + non_ws + "b") == "a" + non_ws + "b"
 
 
 def test_phase_of_order_matters(spark):
