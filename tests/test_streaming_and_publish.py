@@ -98,3 +98,28 @@ def test_databases_reattach_tables_of_earlier_runs(spark, tmp_path):
     R.drop_table(spark, dbs2["prod"], "matches")
     PB.ensure_databases(spark, str(tmp_path), "ra")
     assert not spark.catalog.tableExists(f"{dbs2['prod']}.matches")
+
+
+def test_command_line_refresh_and_ask(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from pitchstar.__main__ import main
+    from pitchstar.operators.pages import dedupe_first
+    from pitchstar.sources.fixtures import raw_tables
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    s = raw["standings"].filter(F.col("phase").isNotNull())
+    m = dedupe_first(raw["matches"], ["season", "competition", "match_date", "home_team", "away_team"],
+                     ["match_url"]).filter(~F.col("away_team").startswith("TBC") & F.col("phase").isNotNull()) \
+        .join(s.select("season").distinct(), "season", "left_semi")
+    e = dedupe_first(raw["match_events"].join(m.select("match_url"), "match_url", "left_semi"),
+                     ["match_url", "event_type", "team", "player_name", "minute"], ["event_subtype"])
+    for t, df in {"standings": s, "matches": m, "match_events": e}.items():
+        R.write_rows(df, f"{tmp_path}/collected/{t}", table=t)
+    args = ["refresh", "--collected", f"{tmp_path}/collected", "--root", f"{tmp_path}/wh", "--name", "cli",
+            "--as-of", "2100-01-01"]
+    assert main(args) == 0
+    assert main(args) == 0          # second run: production carried over, +0 rows
+    out = capsys.readouterr().out
+    assert out.count("published") == 2 and "+0" in out
+    assert main(["ask", "--root", f"{tmp_path}/wh", "--name", "cli", "league_table", "1997-1998",
+                 "League Mens Premier BUILDING"]) == 0
