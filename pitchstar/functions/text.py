@@ -3,6 +3,8 @@ functions, so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,12 @@ ICON_SUFFIX = "-match-details"
 # a fast property test) plus U+001C-U+001F, i.e. exactly str.isspace().
 WHITESPACE_CLASS = r"(?U)[\s\x{1c}-\x{1f}]"
 
+# Decimal digits of every script (Unicode category Nd), as Python's \d and
+# int() accept them, with their ASCII equivalents; built from the rule.
+_ND = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Nd"]
+UNICODE_DIGITS = "".join(_ND)
+ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _ND)
+
 MONTHS = ["January", "February", "March", "April", "May", "June", "July",
           "August", "September", "October", "November", "December"]
 
@@ -76,8 +84,13 @@ def int_or_null(c) -> Column:
     """Text -> bigint, bad or empty -> NULL (never raises under ANSI).
     Accepts an optionally signed run of digits with surrounding whitespace,
     like Python's int(); '17.0' or '3rd' are bad."""
-    digits = F.regexp_extract(_col(c).cast("string"), r"^\s*([+-]?\d+)\s*$", 1)
-    return digits.try_cast("bigint")
+    digits = F.regexp_extract(_col(c).cast("string"), r"(?U)^\s*([+-]?\d+)\s*$", 1)
+    return ascii_digits(digits).try_cast("bigint")
+
+
+def ascii_digits(c) -> Column:
+    """Map decimal digits of any script to 0-9 (no-op on ASCII text)."""
+    return F.translate(_col(c), UNICODE_DIGITS, ASCII_DIGITS)
 
 
 def int_or_zero(c) -> Column:
@@ -87,8 +100,8 @@ def int_or_zero(c) -> Column:
 
 def minute_of(c) -> Column:
     """Leading digits of the trimmed text ("15'" -> 15), default 0."""
-    digits = F.regexp_extract(F.trim(_col(c)), r"^(\d+)", 1)
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    digits = F.regexp_extract(F.trim(_col(c)), r"(?U)^(\d+)", 1)
+    return F.coalesce(ascii_digits(digits).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def icon_name(c) -> Column:
@@ -117,7 +130,7 @@ def event_subtype_of(icon) -> Column:
 
 def player_name(c) -> Column:
     """Drop minute marks like 20' / 20′ / 20’ and collapse whitespace."""
-    x = F.regexp_replace(_col(c), r"\d+[" + MINUTE_MARKS + "]", "")
+    x = F.regexp_replace(_col(c), r"(?U)\d+[" + MINUTE_MARKS + "]", "")
     return squash_spaces(x)
 
 

@@ -54,6 +54,14 @@ def test_two_integer_parsers(spark):
     assert one(spark, T.int_or_null, "-3") == -3
 
 
+def test_unicode_digits_like_python(spark):
+    # Python's \d and int() accept decimal digits of any script
+    assert one(spark, T.minute_of, "١٥'") == int("١٥")
+    assert one(spark, T.int_or_null, " ４２ ") == int(" ４２ ")
+    assert one(spark, T.int_or_zero, "\U0001D7DA") == int("\U0001D7DA")
+    assert one(spark, T.player_name, "Ana Silva ٢٠’") == "Ana Silva"
+
+
 def test_minute(spark):
     assert one(spark, T.minute_of, "15'") == 15
     assert one(spark, T.minute_of, " 7′ ") == 7
