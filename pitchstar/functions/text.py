@@ -137,7 +137,7 @@ def player_name(c) -> Column:
 def page_date(c) -> Column:
     """C9: '22 November 2025 | 14:00' -> '2025-11-22'; no match -> '';
     an unknown month name falls back to January."""
-    pat = r"^(\d{1,2})\s+(\w+)\s+(\d{4})"
+    pat = r"(?U)^(\d{1,2})\s+(\w+)\s+(\d{4})"     # Unicode classes, like Python's re
     x = F.trim(_col(c))
     day, month, year = (F.regexp_extract(x, pat, i) for i in (1, 2, 3))
     mm = None

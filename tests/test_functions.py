@@ -84,6 +84,7 @@ def test_page_date(spark):
     assert one(spark, T.page_date, "22 November 2025 | 14:00") == "2025-11-22"
     assert one(spark, T.page_date, "3 Sept 2025") == "2025-01-03"   # unknown month -> January
     assert one(spark, T.page_date, "TBC") == ""
+    assert one(spark, T.page_date, "5\u00a0March\u20032026 | 14:00") == "2026-03-05"
 
 
 def test_match_status(spark):
