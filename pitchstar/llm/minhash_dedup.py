@@ -18,11 +18,15 @@ Method. Every document gets ``COORDINATES`` MinHash values, posted as tokens
 3. First pass: each document is compared with the one document that is the
    smallest of most of its posting lists. A group of near copies becomes one
    component after as many comparisons as it has members.
-4. Second pass: posting lists that still span several components give the
-   remaining pairs, across components only, and those below the match
-   threshold go after counting their common tokens. Pairs inside a component
-   cannot change the result and are skipped; no others are.
-5. Links are confirmed on the full sets, and components follow.
+4. Second pass: posting lists that still span several components hold what is
+   left; pairs inside a component cannot change the result and are skipped, no
+   others are. Lists of up to ``SMALL`` documents give pairs. Longer ones are
+   cut into blocks; the documents of smaller components visit the blocks, and
+   what comes out is one row for a document and a component in which some
+   member reaches the match threshold, not one for each such member.
+5. Links are confirmed on the full sets: pairs one by one, a document against a
+   large component by visiting blocks of its members until the first link.
+   Components follow.
 
 Defined cases: a null text is an empty one; a null id sorts after all others
 and comes back as null; rows that share an id are one document, linked as
@@ -43,6 +47,7 @@ from pyspark.sql import functions as F
 from .common import BASE, NULL_ID, Words, components, cut, drop, ids_of, mix, prefix_hash, release, slices, span_hash, table, text_buffers
 
 COORDINATES, MATCHES = 32, 16
+SMALL, BLOCK = 32, 512
 _A = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1000)) | np.uint64(1)
 _B = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(2000))
 _COORDINATE = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(3000))
@@ -104,6 +109,51 @@ def confirmer(shingle: int, percent: int):
     return confirm
 
 
+def meeter(percent: int):
+    """Documents that reach the match threshold with a member of a larger component."""
+    def meet(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        out: set[tuple[int, int, int]] = set()
+        hosts = hosts.rename_columns([c.removeprefix("h_") for c in hosts.schema.names])
+        if guests.num_rows and hosts.num_rows:
+            g, h = ({c: t.column(c).to_numpy() for c in ("rep", "n", "component", "size")} for t in (guests, hosts))
+            sg, sh = (np.asarray(t.column("sign").combine_chunks().flatten()).reshape(-1, COORDINATES) for t in (guests, hosts))
+            for i in range(guests.num_rows):
+                ok = (h["size"] > g["size"][i]) | ((h["size"] == g["size"][i]) & (h["component"] > g["component"][i]))
+                ok &= 100 * np.minimum(h["n"], g["n"][i]) >= percent * np.maximum(h["n"], g["n"][i])
+                at = np.flatnonzero(ok)
+                at = at[(sh[at] == sg[i]).sum(axis=1) >= MATCHES]
+                out.update((int(g["rep"][i]), int(h["component"][j]), int(h["size"][j])) for j in at)
+        x, c, n = zip(*out) if out else ((), (), ())
+        return pa.table({"x": pa.array(x, pa.int64()), "component": pa.array(c, pa.int64()), "size": pa.array(n, pa.int64())})
+    return meet
+
+
+def visitor(shingle: int, percent: int):
+    """For each guest its first link to one of the hosts, if there is any."""
+    def visit(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        found = []
+        hosts = hosts.rename_columns([c.removeprefix("h_") for c in hosts.schema.names])
+        if guests.num_rows and hosts.num_rows:
+            (x, at), (y, to) = shingle_sets(guests.column("text"), shingle), shingle_sets(hosts.column("text"), shingle)
+            size = np.diff(to)
+            owner = np.repeat(np.arange(hosts.num_rows), size)
+            order = np.argsort(y, kind="stable")
+            y, owner = y[order], owner[order]
+            a, b = guests.column("id").to_numpy(), hosts.column("id").to_numpy()
+            for i in range(guests.num_rows):
+                own = x[at[i]:at[i + 1]]
+                lo, hi = np.searchsorted(y, own), np.searchsorted(y, own, "right")
+                n = hi - lo
+                places = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                both = np.bincount(owner[places], minlength=hosts.num_rows)
+                hit = np.flatnonzero((both > 0) & (100 * both >= percent * (size + len(own) - both)) & (b != a[i]))
+                if len(hit):
+                    found.append((int(a[i]), int(b[hit[0]])))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return visit
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Return (id, n_shingles, component) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -144,17 +194,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what is left: lists that span several components
     placed = (posts.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
               .select("token", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    open_lists = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    left = cut(placed.join(open_lists, "token"))
-    right = left.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = (left.join(right, "token").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("c_b"))
-                                             & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
-             .select(F.col("rep").alias("a"), "b").distinct())
-    tokens = reps.groupBy("rep").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    counted = (pairs.join(tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
-               .join(tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
-               .where(F.size(F.array_intersect("ta", "tb")) >= MATCHES).select("a", "b"))
+    sizes = placed.groupBy("component").agg(F.countDistinct("rep").alias("size"))
+    open_lists = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).where("lo < hi").select("token", "many")
+    left = cut(placed.join(open_lists, "token").join(sizes, "component").select("token", "many", "rep", "n", "component", "size"))
+    release(spark)
+    signs = reps.select("rep", F.transform("tokens", lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias("sign"))
+
+    def pairs_of(lists: DataFrame) -> DataFrame:
+        other = lists.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+        return (lists.join(other, "token").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("c_b"))
+                                                 & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
+                .select(F.col("rep").alias("a"), "b"))
+
+    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    long_lists = left.where(F.col("many") > SMALL).join(signs, "rep")
+    there = long_lists.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    top = long_lists.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top")).select(F.col("token").alias("t"), F.col("top.component").alias("top"))
+    visiting = (long_lists.join(top, (F.col("token") == F.col("t")) & (F.col("component") != F.col("top"))).drop("t", "top")
+                .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
+    kept = ["token", "block", "rep", "n", "component", "size", "sign"]
+    there = there.select(*[F.col(c).alias(f"h_{c}") for c in kept])
+    meets = cut(visiting.select(*kept).groupBy("token", "block").cogroup(there.groupBy("h_token", "h_block"))
+                .applyInArrow(meeter(percent), "x long, component long, size long").distinct())
+    member = left.select(F.col("rep").alias("y"), F.col("component").alias("c")).distinct()
+    few = meets.where(F.col("size") <= SMALL).join(member, F.col("component") == F.col("c")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = pairs_of(left.where(F.col("many") <= SMALL)).union(few).distinct()
+    counted = (pairs.join(signs.select(F.col("rep").alias("a"), F.col("sign").alias("sa")), "a")
+               .join(signs.select(F.col("rep").alias("b"), F.col("sign").alias("sb")), "b")
+               .where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b").distinct())
     more = near(cut(counted))
+
+    large = meets.where(F.col("size") > SMALL)
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    hosts = (member.join(large.select(F.col("component").alias("l"), "size").distinct(), F.col("c") == F.col("l"))
+             .join(texts, F.col("id") == F.col("y")).select(F.col("c").alias("h_c"), F.pmod(F.xxhash64("y"), parts).cast("int").alias("h_block"), F.col("id").alias("h_id"), F.col("text").alias("h_text")))
+    guests = (large.join(texts, F.col("id") == F.col("x")).withColumn("block", F.explode(F.sequence(F.lit(0), parts - 1)))
+              .select(F.col("component").alias("c"), "block", "id", "text"))
+    visits = cut(guests.groupBy("c", "block").cogroup(hosts.groupBy("h_c", "h_block")).applyInArrow(visitor(shingle, percent), "a long, b long"))
+    more = more.union(visits)
     found = cut(components(links.union(more)))
     release(spark)
     where = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
