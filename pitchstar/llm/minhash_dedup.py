@@ -117,11 +117,15 @@ def meeter(percent: int):
         if guests.num_rows and hosts.num_rows:
             g, h = ({c: t.column(c).to_numpy() for c in ("rep", "n", "component", "size")} for t in (guests, hosts))
             sg, sh = (np.asarray(t.column("sign").combine_chunks().flatten()).reshape(-1, COORDINATES) for t in (guests, hosts))
+            pg, ph = (np.asarray(t.column("posted").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, COORDINATES) for t in (guests, hosts))
+            mark = guests.column("mark")[0].as_py()
             for i in range(guests.num_rows):
                 ok = (h["size"] > g["size"][i]) | ((h["size"] == g["size"][i]) & (h["component"] > g["component"][i]))
                 ok &= 100 * np.minimum(h["n"], g["n"][i]) >= percent * np.maximum(h["n"], g["n"][i])
                 at = np.flatnonzero(ok)
-                at = at[(sh[at] == sg[i]).sum(axis=1) >= MATCHES]
+                same = sh[at] == sg[i]
+                here = (same & ph[at] & pg[i]).argmax(axis=1) == (sg[i] == mark).argmax()
+                at = at[(same.sum(axis=1) >= MATCHES) & here]
                 out.update((int(g["rep"][i]), int(h["component"][j]), int(h["size"][j])) for j in at)
         x, c, n = zip(*out) if out else ((), (), ())
         return pa.table({"x": pa.array(x, pa.int64()), "component": pa.array(c, pa.int64()), "size": pa.array(n, pa.int64())})
@@ -206,13 +210,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                                  & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
                 .select(F.col("rep").alias("a"), "b"))
 
+    # two documents meet in the first coordinate that both post to a long open list, and only there
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    long_lists = left.where(F.col("many") > SMALL).join(signs, "rep")
+    long_lists = left.where(F.col("many") > SMALL).withColumn("mark", F.xxhash64("token").bitwiseAND(0x7FFFFFFF).cast("int"))
+    marks = long_lists.groupBy("rep").agg(F.collect_set("mark").alias("marks")).join(signs, "rep")
+    marks = marks.select("rep", "sign", F.transform("sign", lambda x: F.array_contains("marks", x)).alias("posted"))
+    long_lists = cut(long_lists.join(marks.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r"))
     there = long_lists.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     top = long_lists.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top")).select(F.col("token").alias("t"), F.col("top.component").alias("top"))
     visiting = (long_lists.join(top, (F.col("token") == F.col("t")) & (F.col("component") != F.col("top"))).drop("t", "top")
                 .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    kept = ["token", "block", "rep", "n", "component", "size", "sign"]
+    kept = ["token", "block", "rep", "n", "component", "size", "sign", "posted", "mark"]
     there = there.select(*[F.col(c).alias(f"h_{c}") for c in kept])
     meets = cut(visiting.select(*kept).groupBy("token", "block").cogroup(there.groupBy("h_token", "h_block"))
                 .applyInArrow(meeter(percent), "x long, component long, size long").distinct())
