@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pitchstar.session import ensure_checkpoint_dir
 
-from .common import NULL_ID, cut, table
+from .common import NULL_ID, cut, release, table
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -98,63 +98,89 @@ def reachable(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[marked[:n]][["file", "offset", "successor"]]
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """(id, record_type, refers_to, url, declared_bytes, digest, payload)."""
-    # One pass finds where the cuts lie; offsets follow from their lengths.
+def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """(id, record_type, refers_to, url, declared_bytes, digest, payload_bytes, sha1)
+    and with ``payloads`` the payload. Without, a record that lies in one cut
+    is digested where it is read, and only broken-up records move."""
+    width = len(MAGIC)
     cuts = (spark.read.option("lineSep", MAGIC).text(path)
             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth")))
-    width = len(MAGIC)
+    head = F.substring_index("value", END, 1)
+    declared = F.regexp_extract(head, "(?i)(?:^|\\r\\n)Content-Length:[ \\t]*([0-9]{1,18})[ \\t]*(?:\\r\\n|$)", 1)
+    seen = cuts.withColumn("head", F.when(F.locate(END, F.col("value")) > 0, head)).withColumn("size", F.when(declared != "", declared.cast("long")))
+    seen = seen.withColumn("length", F.octet_length("value").cast("long")).withColumn("head_bytes", F.octet_length("head").cast("long"))
+    seen = seen.withColumn("whole", F.coalesce(F.col("length") == F.col("head_bytes") + F.col("size") + 2 * len(END), F.lit(False)))
+    spaced = cut(_block_fields(seen.withColumn("r", F.when(F.col("whole"), F.col("value"))), payloads=False)
+                 .select("file", "split", "nth", "length", "head", "head_bytes", "size", "whole", "http", "payload_bytes", "sha1"))
     order = Window.partitionBy("file").orderBy("split", "nth")
-    # the text before the first version line is the empty cut at offset 0
-    raw = cut(cuts)
-    spaced = (raw.select("file", "split", "nth", F.octet_length("value").cast("long").alias("length"), F.locate(END, F.col("value")).alias("head_end"),
-                         F.substring_index("value", END, 1).alias("head"))
-              .withColumn("offset", F.sum(F.col("length") + width).over(order) - F.col("length") - 2 * width))
-    declared = F.regexp_extract("head", "(?i)(?:^|\\r\\n)Content-Length:[ \\t]*([0-9]{1,18})[ \\t]*(?:\\r\\n|$)", 1)
-    spaced = spaced.withColumn("size", F.when(declared != "", declared.cast("long")))
-    spaced = cut(spaced.select("file", "split", "nth", "offset", "length", F.when(F.col("head_end") > 0, F.octet_length("head").cast("long")).alias("head_bytes"), "size"))
+    # offsets follow from the lengths; before the first version line there is an empty cut
+    spaced = spaced.withColumn("offset", F.sum(F.col("length") + width).over(order) - F.col("length") - 2 * width)
+    spaced = cut(spaced)
     candidates = (spaced.where("offset >= 0 and size is not null and head_bytes is not null")
                   .select("file", "offset", (F.col("offset") + width + F.col("head_bytes") + len(END) + F.col("size") + len(END)).alias("successor")))
     chain = candidates.groupBy("file").applyInPandas(reachable, "file string, offset long, successor long")
     # every cut belongs to the last reached record at or before it
     starts = spaced.join(chain, ["file", "offset"], "left")
-    owned = (starts.withColumn("owner", F.last(F.when(F.col("successor").isNotNull(), F.struct("offset", "successor", "head_bytes", "size")), ignorenulls=True).over(order))
-             .where("owner is not null and offset < owner.successor")
-             .select("file", "split", "nth", "offset", F.col("owner.offset").alias("record"), F.col("owner.head_bytes").alias("head_bytes"), F.col("owner.size").alias("size"),
-                     F.col("owner.successor").alias("successor"), F.max(F.col("offset") + F.col("length") + width).over(Window.partitionBy("file")).alias("file_end")))
-    owned = owned.where(F.col("successor") <= F.col("file_end"))
-    pieces = raw.join(owned, ["file", "split", "nth"])
-    text = F.concat_ws(MAGIC, F.transform(F.sort_array(F.collect_list(F.struct("offset", "value"))), lambda x: x["value"]))
-    alone = pieces.where(F.col("offset") == F.col("record"))
-    inside = pieces.where(F.col("offset") > F.col("record")).groupBy("file", "record").agg(text.alias("more"))
-    whole = alone.join(inside, ["file", "record"], "left").select(
-        F.concat(F.col("value"), F.coalesce(F.concat(F.lit(MAGIC), F.col("more")), F.lit(""))).alias("r"), "head_bytes", "size")
-    raw_bytes = F.col("r").cast("binary")
-    block = F.expr("substring(cast(r as binary), cast(head_bytes + 5 as int), cast(size as int))")
-    head = F.expr("cast(substring(cast(r as binary), 1, cast(head_bytes as int)) as string)")
-    del raw_bytes
-    parsed = whole.select(head.alias("head"), block.cast("string").alias("block"))
+    owned = (starts.withColumn("owner", F.last(F.when(F.col("successor").isNotNull(), F.struct("offset", "successor", "head_bytes", "size", "whole")), ignorenulls=True).over(order))
+             .withColumn("file_end", F.max(F.col("offset") + F.col("length") + width).over(Window.partitionBy("file")))
+             .where("owner is not null and offset < owner.successor and owner.successor <= file_end"))
+    owned = cut(owned.withColumn("record", F.col("owner.offset")))
+    simple = owned.where("owner.whole and offset = record")
+    broken = owned.where("not owner.whole").select("file", "split", "nth", "offset", "record", F.col("owner.head_bytes").alias("head_bytes"), F.col("owner.size").alias("size"))
+
+    def contents(of: DataFrame) -> DataFrame:
+        many = of.limit(PIECES + 1).count()
+        if not many:
+            return None
+        pieces = cuts.join(F.broadcast(of) if many <= PIECES else of, ["file", "split", "nth"])
+        text = F.concat_ws(MAGIC, F.transform(F.sort_array(F.collect_list(F.struct("offset", "value"))), lambda x: x["value"]))
+        inside = pieces.where(F.col("offset") > F.col("record")).groupBy("file", "record").agg(text.alias("more"))
+        return pieces.where(F.col("offset") == F.col("record")).join(inside, ["file", "record"], "left").select(
+            F.concat(F.col("value"), F.coalesce(F.concat(F.lit(MAGIC), F.col("more")), F.lit(""))).alias("r"), F.substring_index("value", END, 1).alias("head"), "head_bytes", "size")
+
+    if payloads:
+        everything = contents(owned.select("file", "split", "nth", "offset", "record", F.col("owner.head_bytes").alias("head_bytes"), F.col("owner.size").alias("size")))
+        return _fields(simple.withColumn("payload", F.lit("")).where("false") if everything is None else _block_fields(everything, True), True)
+    rest = contents(broken)
+    out = _fields(simple, False)
+    return out if rest is None else out.unionByName(_fields(_block_fields(rest, False), False))
+
+
+#: Pieces of records that may be broadcast: three numbers and a file name each.
+PIECES = 50_000
+
+
+def _block_fields(records_: DataFrame, payloads: bool) -> DataFrame:
+    """http header, payload size and digest of whole records ``r``; null where r is."""
+    block = F.expr("substring(cast(r as binary), cast(head_bytes + 5 as int), cast(size as int))").cast("string")
+    out = records_.withColumn("block", block).withColumn("http", F.substring_index("block", END, 1))
+    payload = F.when(F.locate(END, F.col("block")) > 0, F.expr("substring(block, instr(block, '\\r\\n\\r\\n') + 4)")).when(F.col("block").isNotNull(), F.lit(""))
+    out = out.withColumn("payload", payload).withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1(F.col("payload").cast("binary")))
+    return out.drop("block") if payloads else out.drop("block", "payload")
+
+
+def _fields(rows: DataFrame, payloads: bool) -> DataFrame:
     field = lambda key: F.regexp_extract("head", f"(?i)(?:^|\\r\\n){key}:[ \\t]*([^\\r\\n]*)", 1)
     page = lambda c: F.regexp_extract(c, "<urn:page:([0-9-]+)>", 1)
     number = lambda c: F.when(c != "", c.cast("long"))
-    at = F.locate(END, F.col("block"))
-    http = F.substring_index("block", END, 1)
-    length = F.regexp_extract(http, "(?i)\\r\\nContent-Length:[ \\t]*([0-9]{1,18})", 1)
-    return parsed.select(
+    length = number(F.regexp_extract("http", "(?i)\\r\\nContent-Length:[ \\t]*([0-9]{1,18})", 1))
+    response = field("WARC-Type") == "response"
+    return rows.select(
         number(page(field("WARC-Record-ID"))).alias("id"), field("WARC-Type").alias("record_type"), number(page(field("WARC-Refers-To"))).alias("refers_to"),
-        F.nullif(field("WARC-Target-URI"), F.lit("")).alias("url"), number(length).alias("declared_bytes"),
+        F.nullif(field("WARC-Target-URI"), F.lit("")).alias("url"), length.alias("declared_bytes"),
         F.regexp_extract(field("WARC-Payload-Digest"), "sha1:([A-Z2-7]*)", 1).alias("digest"),
-        F.when(field("WARC-Type") == "response", F.when(at > 0, F.expr("substring(block, instr(block, '\\r\\n\\r\\n') + 4)")).otherwise("")).alias("payload"))
+        F.when(response, F.col("payload_bytes")).alias("payload_bytes"), F.when(response, F.col("sha1")).alias("sha1"),
+        *([F.when(response, F.col("payload")).alias("payload")] if payloads else []))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page, read the archives, report each record."""
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(records(table(spark, sf_dir, "pages")), path)
-    got = read_archive(spark, path)
-    size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("declared_bytes"))
-    sha = F.sha1(F.col("payload").cast("binary"))
-    checked = got.select("id", "record_type", "refers_to", size.alias("payload_bytes"), "digest", F.coalesce(sha, F.lit("")).alias("sha1"))
+    release(spark)
+    got = read_archive(spark, path, payloads=False)
+    size = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(F.col("declared_bytes"))
+    checked = got.select("id", "record_type", "refers_to", size.alias("payload_bytes"), "digest", F.coalesce("sha1", F.lit("")).alias("sha1"))
     checked = checked.mapInArrow(_check_digest, "id long, record_type string, refers_to long, payload_bytes long, digest string")
     return checked.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
