@@ -12,8 +12,17 @@ START = X.ARTICLE_START
 WS = "[" + "".join(c for c in map(chr, range(0x110000)) if c.isspace()) + "]"
 
 
+def decoded(x: str) -> str:
+    """Character references as a browser shows them, the ampersand last."""
+    for name, char in (("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
+                       ("&apos;", "''"), ("&#39;", "''"), ("&#x27;", "''"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&#38;", "&"), ("&amp;", "&")):
+        x = f"replace({x}, '{name}', '{char}')"
+    return x
+
+
 def strip(x: str) -> str:
-    return f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '{WS}+', ' ', 'g'))"
+    bare = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+    return f"trim(regexp_replace({decoded(bare)}, '{WS}+', ' ', 'g'))"
 
 
 def clean(x: str) -> str:
@@ -110,7 +119,9 @@ FROM raw_match_events""")
 
 
 def page_first_match() -> str:
-    parts = ", ".join(f"nullif(trim(regexp_extract(html, '{p}', 1)), '')" for p in X.HEADING_PATTERNS)
+    ends = f"'^{WS}+|{WS}+$'"
+    texts = [decoded(f"regexp_extract(html, '{p}', 1)") for p in X.HEADING_PATTERNS]
+    parts = ", ".join(f"nullif(regexp_replace({t}, {ends}, '', 'g'), '')" for t in texts)
     return f"SELECT page_id, coalesce({parts}) AS heading FROM pages"
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from .text import strip_spaces
+
 
 def typed(df: DataFrame, schema: StructType, untrusted: bool = True) -> DataFrame:
     """Cast every column of ``schema`` to its declared type, in schema
@@ -16,7 +18,7 @@ def typed(df: DataFrame, schema: StructType, untrusted: bool = True) -> DataFram
         c = F.col(f.name)
         src = df.schema[f.name].dataType
         if untrusted and isinstance(src, StringType) and not isinstance(f.dataType, StringType):
-            cols.append(F.trim(c).try_cast(f.dataType).alias(f.name))
+            cols.append(strip_spaces(c).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)

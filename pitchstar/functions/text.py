@@ -46,6 +46,25 @@ def squash_spaces(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), WHITESPACE_CLASS + "+", " "))
 
 
+def strip_spaces(c) -> Column:
+    """Drop white space of any kind at both ends, as Python's strip does."""
+    return F.regexp_replace(_col(c), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+
+
+# The named and numbered character references that pages use;
+# the ampersand comes last, so that what it reveals is not decoded again.
+ENTITIES = [("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
+            ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&#38;", "&"), ("&amp;", "&")]
+
+
+def unescape(c) -> Column:
+    """Text as a browser shows it: character references decoded."""
+    out = _col(c)
+    for name, char in ENTITIES:
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
+
+
 def unify_name(c) -> Column:
     """Apostrophe variants -> plain quote, whitespace collapsed and trimmed;
     empty text stays empty."""
@@ -100,7 +119,7 @@ def int_or_zero(c) -> Column:
 
 def minute_of(c) -> Column:
     """Leading digits of the trimmed text ("15'" -> 15), default 0."""
-    digits = F.regexp_extract(F.trim(_col(c)), r"(?U)^(\d+)", 1)
+    digits = F.regexp_extract(strip_spaces(c), r"(?U)^(\d+)", 1)
     return F.coalesce(ascii_digits(digits).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
@@ -138,7 +157,7 @@ def page_date(c) -> Column:
     """C9: '22 November 2025 | 14:00' -> '2025-11-22'; no match -> '';
     an unknown month name falls back to January."""
     pat = r"(?U)^(\d{1,2})\s+(\w+)\s+(\d{4})"     # Unicode classes, like Python's re
-    x = F.trim(_col(c))
+    x = strip_spaces(c)
     day, month, year = (F.regexp_extract(x, pat, i) for i in (1, 2, 3))
     mm = None
     for i, m in enumerate(MONTHS, start=1):

@@ -128,7 +128,7 @@ MODEL_TESTS = [
 ]
 # Custom tests: (name, severity)
 CUSTOM_TESTS = [("assert_no_future_results", "error"), ("warn_tbc_teams_missing_ids", "warn")]
-TBC_REASON = "TBC teams from the source have no team data"
+TBC_REASON = "Placeholder opponent: no such team in the dimension yet"
 
 SUMMARY_COLS = ["check_name", "model", "column_name", "severity", "failures"]
 
@@ -208,18 +208,22 @@ def _unique_counts(star, tests) -> DataFrame:
 
 
 def _relationship_counts(star, tests) -> DataFrame:
-    """All relationships tests in one anti-join on (parent, parent column,
-    value): child rows whose non-NULL key has no parent row."""
+    """All relationships tests in one join on (parent, parent column, value).
+    Child rows are counted per distinct non-NULL value first, so only values
+    and counts are shuffled, however often a value occurs; an outer join with
+    a marker keeps Catalyst from pushing one join into every branch."""
     child = reduce(DataFrame.unionByName, [
         star[m].select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
                        F.lit(f"{a[0]}.{a[1]}").alias("_parent"), F.col(c).cast("string").alias("value"))
         .filter(F.col("value").isNotNull())
         for m, c, a in tests])
+    child = child.groupBy("model", "column_name", "_parent", "value").agg(F.count(F.lit(1)).alias("_n"))
     parents = reduce(DataFrame.unionByName, [
         star[p].select(F.lit(f"{p}.{k}").alias("_parent"), F.col(k).cast("string").alias("value"))
         for p, k in sorted({(a[0], a[1]) for _, _, a in tests})]).distinct()
-    orphan = child.join(parents, ["_parent", "value"], "left_anti")
-    return orphan.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures"))
+    seen = parents.withColumn("_found", F.lit(True))
+    orphan = child.join(seen, ["_parent", "value"], "left").filter(F.col("_found").isNull())
+    return orphan.groupBy("model", "column_name").agg(F.sum("_n").alias("failures"))
 
 
 # Q7
@@ -229,7 +233,7 @@ def run_checks(star, as_of=None) -> DataFrame:
     ``star`` maps a model name to a DataFrame (a ``Star`` or stored tables).
     One action computes all rows: not_null tests share one scan per table,
     all unique tests share one aggregation and all relationships tests one
-    anti-join, so the shuffle count does not grow with the number of tests.
+    join, so the shuffle count does not grow with the number of tests.
     """
     parts: list[DataFrame] = []
     nn: dict[str, list[tuple[str, str]]] = {}

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.keys import match_text_key
 from ..functions.text import gender_of, phase_of, prefix
 from ..schemas import RUN_SUMMARY
-from .lookup import maybe_broadcast
 from .topn import cap_rows
 from .upsert import upsert
 
@@ -88,7 +87,7 @@ def pending(matches: DataFrame, keys: DataFrame, full_refresh: bool = False) ->
     m = matches.withColumn("match_key", match_text_key("season", "match_date", "home_team", "away_team"))
     if full_refresh:
         return m
-    return m.join(maybe_broadcast(keys), "match_key", "left_anti")
+    return m.join(keys, "match_key", "left_anti")
 
 
 # A11

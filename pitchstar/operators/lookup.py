@@ -1,12 +1,8 @@
 """Dimension lookups and membership joins.
 
-Broadcast policy: a broadcast hint is placed only on a side whose size is
-proven small -- bounded by construction (``small=True``: one row per
-season or phase) or counted against MAX_BROADCAST_ROWS (``small=None``
-with ``check=True``). Otherwise no hint: Spark broadcasts by its size
-statistics (stored tables report file sizes; autoBroadcastJoinThreshold)
-and AQE re-plans at run time from measured shuffle sizes, falling back to
-a sort-merge join when the side is large.
+A broadcast hint is placed only on a side that is small by construction
+(``small=True``: one row per season or phase). Everywhere else the choice is
+Spark's, from size statistics and measured shuffle sizes.
 """
 
 from __future__ import annotations
@@ -14,43 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint as broadcast (rows). A dim row here is a name and
-# one or two ids, i.e. well under 100 bytes, so 2M rows stays below ~200 MB.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Counts at most
-    max_rows + 1 rows, so the check stays cheap for big inputs."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def lookup_fk(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
               dim_key: str, out_col: str | None = None,
-              small: bool | None = None, check: bool = False) -> DataFrame:
+              small: bool = False) -> DataFrame:
     """Left-join ``fact`` to ``dim`` on ``fact_col = dim_col`` and append the
     dimension key as ``out_col``. Unmatched or NULL natural keys give NULL.
-    ``small``: True = bounded by construction (hint), False = never hint,
-    None = hint only if ``check`` and the row count is under the bound."""
+    ``small``: bounded by construction (hint)."""
     out_col = out_col or dim_key
     d = dim.select(F.col(dim_col).alias("_nk"), F.col(dim_key).alias(out_col))
-    use_bc = small if small is not None else (check and fits_broadcast(d))
-    if use_bc:
+    if small:
         d = F.broadcast(d)
     return fact.join(d, fact[fact_col] == d["_nk"], "left").drop("_nk")
 
 
 def lookup_roles(fact: DataFrame, dim: DataFrame, dim_col: str, dim_key: str,
-                 roles: dict[str, str], small: bool | None = None,
-                 check: bool = False) -> DataFrame:
+                 roles: dict[str, str], small: bool = False) -> DataFrame:
     """E2 role-playing dimension: ``roles`` maps a fact column to the output
     key column, e.g. {"home_team": "home_team_id", "away_team": "away_team_id"}."""
-    if small is None and check:
-        small = fits_broadcast(dim.select(dim_col))
     for fact_col, out_col in roles.items():
         fact = lookup_fk(fact, dim, fact_col, dim_col, dim_key, out_col, small=small)
     return fact

@@ -1,13 +1,12 @@
 """G1: dense row numbering ``ROW_NUMBER() OVER (ORDER BY ...)`` without
 pulling an unbounded number of rows into one task.
 
-Small inputs (counted: at most ``single_task_max`` rows) are numbered by
-the plain global window, a bounded single task. Larger inputs: range-partition on the order columns and sort inside each partition,
-write that once to the reliable checkpoint folder (so a lost executor cannot
-recompute a different range split), then number rows inside each partition
-and add the row count of all earlier partitions. The per-partition counts
+Rows are range-partitioned on the order columns and sorted inside each
+partition, written once to the reliable checkpoint folder (so a lost executor
+cannot recompute a different range split), then numbered inside each partition
+and moved by the row count of all earlier partitions. The per-partition counts
 table has one row per partition, so broadcasting it is bounded by the
-partition count, not by the data.
+partition count, not by the data. There is one path for every size.
 """
 
 from __future__ import annotations
@@ -24,12 +23,8 @@ def _sort_col(c) -> Column:
     return F.col(c).asc_nulls_first()
 
 
-SINGLE_TASK_MAX = 1_000_000
-
-
 def number_rows(df: DataFrame, order_cols: list, id_col: str,
-                num_partitions: int | None = None,
-                single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Append ``id_col`` (bigint, 1..n) in the total order of ``order_cols``.
 
     Ties in ``order_cols`` are numbered in an arbitrary order, as a SQL
@@ -38,11 +33,9 @@ def number_rows(df: DataFrame, order_cols: list, id_col: str,
     spark = df.sparkSession
     sort = [_sort_col(c) for c in order_cols]
     ensure_checkpoint_dir(spark)
-    # Compute the (typically distinct-name) input once; the size check and
+    # Compute the (typically distinct-name) input once; the range sample and
     # the numbering both read the checkpoint instead of recomputing it.
     df = df.checkpoint(eager=True)
-    if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort)).cast("bigint"))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a row hash as last range key lets Spark split a tied order value
     # across partitions (ties are numbered in arbitrary order anyway)
@@ -66,13 +59,11 @@ def number_rows(df: DataFrame, order_cols: list, id_col: str,
 
 
 def running_total(df: DataFrame, order_cols: list, value_col: str, out_col: str,
-                  exclusive: bool = False, num_partitions: int | None = None,
-                  single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+                  exclusive: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Append the running sum of ``value_col`` in the total order of
     ``order_cols`` (``exclusive``: sum of the rows strictly before).
 
-    Same plan as ``number_rows``: counted-small inputs use one bounded
-    window task; larger ones are range-partitioned, checkpointed, summed
+    Same plan as ``number_rows``: range-partitioned, checkpointed, summed
     per partition, and each partition adds the total of the partitions
     before it (one row per partition: a bounded broadcast)."""
     spark = df.sparkSession
@@ -80,9 +71,6 @@ def running_total(df: DataFrame, order_cols: list, value_col: str, out_col: str,
     ensure_checkpoint_dir(spark)
     df = df.checkpoint(eager=True)
     upto = Window.unboundedPreceding, (-1 if exclusive else 0)
-    if single_task_max > 0 and df.limit(single_task_max + 1).count() <= single_task_max:
-        w = Window.orderBy(*sort).rowsBetween(*upto)
-        return df.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = sort + [F.xxhash64(*[F.col(c) for c in df.columns])]
     fixed = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)

@@ -21,7 +21,10 @@ def top_members(detail: DataFrame, member_cols: list[str], measure: str, n: int,
     """H2: pick the top-n members by their total of ``measure`` (summed over
     the finer grain of ``detail``), then return the detail rows of those
     members. ``detail`` is already aggregated, so it is small per member;
-    the winners list has n rows and is broadcast by construction."""
+    the winners list has n rows and is broadcast by construction. ``n <= 0``
+    keeps all members, without a ranking."""
+    if not n or n <= 0:
+        return detail
     tie_cols = tie_cols or member_cols
     totals = detail.groupBy(*member_cols).agg(F.sum(measure).alias("_total"))
     order = [F.desc("_total")] + [F.col(c).asc_nulls_first() for c in tie_cols]

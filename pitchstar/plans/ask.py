@@ -32,14 +32,14 @@ RELATIONSHIPS = [
 ]
 # Questions the data cannot answer, with the reason given back.
 NOT_AVAILABLE = {
-    "attendance": "No attendance data is collected.",
-    "assists": "Assists are not tracked in the source data.",
-    "possession": "No possession statistics available.",
-    "shots": "Shot data is not collected.",
-    "age": "No player demographic data (age, DOB) available.",
-    "player_position": "Player positions are not in the dataset.",
-    "saves": "No goalkeeper or save statistics available.",
-    "referee": "Referee data is not collected.",
+    "attendance": "crowd sizes are not on the pages that are collected",
+    "assists": "only the scorer of a goal is published",
+    "possession": "there is no ball-by-ball record of a match",
+    "shots": "attempts that were no goal leave no trace",
+    "age": "players are known by name alone",
+    "player_position": "line-ups do not say who played where",
+    "saves": "nothing is recorded for goalkeepers",
+    "referee": "officials are not named",
 }
 AGGS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "count_distinct": F.countDistinct}
 

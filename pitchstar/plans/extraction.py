@@ -53,14 +53,14 @@ def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ribbon_title(x):
     """Ribbon text: the title link, else the title itself."""
     return P.first_match(x, [
-        f'(?s)class="{P.RIBBON_TITLE}[^"]*"[^>]*>\\s*<a[^>]*>([^<]*)<',
-        f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<'])
+        f'(?s){P.has_class(P.RIBBON_TITLE)}[^>]*>\\s*<a[^>]*>([^<]*)<',
+        f'{P.has_class(P.RIBBON_TITLE)}[^>]*>([^<]*)<'])
 
 
 def parse_listing(pages: DataFrame) -> DataFrame:
     """Fixtures pages (page_id, season, competition_group, match_day, html)
     -> raw match fields."""
-    cards = P.page_sections(pages, P.class_start(P.RIBBON, P.MATCH_CARD), 'class="([^" ]+)', P.RIBBON,
+    cards = P.page_sections(pages, P.class_start(P.RIBBON, P.MATCH_CARD), P.class_kind(P.RIBBON, P.MATCH_CARD), P.RIBBON,
                             ribbon_title, keep=["page_id", "season", "competition_group", "match_day"])
     rows = P.parse_match_cards(cards)
     return rows.select("season", "phase", "competition_group", "competition",
@@ -76,8 +76,8 @@ def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_standings_pages(pages: DataFrame) -> DataFrame:
     tables = P.page_sections(
-        pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), 'class="([^" ]+)', P.RIBBON,
-        lambda x: F.regexp_extract(x, f'class="{P.RIBBON_TITLE}[^"]*"[^>]*>([^<]*)<', 1),
+        pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), P.class_kind(P.RIBBON, P.TABLE_CONTAINER), P.RIBBON,
+        lambda x: F.regexp_extract(x, f'{P.has_class(P.RIBBON_TITLE)}[^>]*>([^<]*)<', 1),
         normalise=False, keep_empty=True, keep=["page_id", "season", "competition_group"])
     rows = P.parse_standings_rows(tables)
     return rows.select("season", "phase", "competition_group", "competition", "position", "team",

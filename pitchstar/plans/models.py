@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.text import date_of, match_status
-from ..operators.lookup import fits_broadcast, lookup_fk, lookup_roles
+from ..operators.lookup import lookup_fk, lookup_roles
 from ..operators.numbering import number_rows
 
 # --------------------------------------------------------------- staging
@@ -139,15 +139,13 @@ def dim_players(stg_e: DataFrame) -> DataFrame:
 
 
 def fct_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
-                teams: DataFrame, teams_small: bool | None = None) -> DataFrame:
-    """Natural keys -> dimension ids; team dim used twice (roles).
-    ``teams_small``: result of a size check on the team dim (None: let
-    Spark decide from statistics)."""
+                teams: DataFrame) -> DataFrame:
+    """Natural keys -> dimension ids; team dim used twice (roles)."""
     # one row per season / per phase: bounded by construction
     f = lookup_fk(int_m, seasons, "season", "season_name", "season_id", small=True)
     f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
     f = lookup_roles(f, teams, "team_name", "team_id",
-                     {"home_team": "home_team_id", "away_team": "away_team_id"}, small=teams_small)
+                     {"home_team": "home_team_id", "away_team": "away_team_id"})
     return f.select(
         "match_id", "season_id", "phase_id", "home_team_id", "away_team_id",
         F.col("home_team").alias("home_team_name"), F.col("away_team").alias("away_team_name"),
@@ -156,7 +154,7 @@ def fct_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
 
 
 def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
-                     teams: DataFrame, teams_small: bool | None = None,
+                     teams: DataFrame,
                      fan_out: bool = True) -> DataFrame:
     """Team perspective with scores and five keys.
 
@@ -179,7 +177,7 @@ def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
     f = lookup_fk(tm, seasons, "season", "season_name", "season_id", small=True)
     f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
     f = lookup_roles(f, teams, "team_name", "team_id",
-                     {"team": "team_id", "opponent": "opponent_id"}, small=teams_small)
+                     {"team": "team_id", "opponent": "opponent_id"})
     home = F.when(F.col("is_home"), F.col("team")).otherwise(F.col("opponent"))
     away = F.when(F.col("is_home"), F.col("opponent")).otherwise(F.col("team"))
     return f.select(
@@ -190,8 +188,7 @@ def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
 
 
 def fct_match_events(stg_e: DataFrame, stg_m: DataFrame, players: DataFrame,
-                     teams: DataFrame, players_small: bool | None = None,
-                     teams_small: bool | None = None) -> DataFrame:
+                     teams: DataFrame) -> DataFrame:
     """Events -> match (by URL), player and team ids.
 
     The match side grows with the data, so that join is a shuffle join on the
@@ -200,19 +197,19 @@ def fct_match_events(stg_e: DataFrame, stg_m: DataFrame, players: DataFrame,
     m = stg_m.select(F.col("match_url").alias("_url"), "match_id", "competition_group",
                      F.col("competition").alias("competition_name"))
     e = stg_e.join(m, stg_e.match_url == m._url, "left")
-    e = lookup_fk(e, players, "player_name", "player_name", "player_id", small=players_small)
-    e = lookup_fk(e, teams, "team", "team_name", "team_id", small=teams_small)
+    e = lookup_fk(e, players, "player_name", "player_name", "player_id")
+    e = lookup_fk(e, teams, "team", "team_name", "team_id")
     return e.select("event_id", "match_id", "player_id", "team_id",
                     F.col("team").alias("team_name"), "competition_group",
                     "competition_name", "event_type", "event_subtype", "minute")
 
 
 def fct_standings(stg_s: DataFrame, seasons: DataFrame, phases: DataFrame,
-                  teams: DataFrame, teams_small: bool | None = None) -> DataFrame:
+                  teams: DataFrame) -> DataFrame:
     """Standings with season, phase and team ids plus snapshot date."""
     f = lookup_fk(stg_s, seasons, "season", "season_name", "season_id", small=True)
     f = lookup_fk(f, phases, "phase", "phase_name", "phase_id", small=True)
-    f = lookup_fk(f, teams, "team", "team_name", "team_id", small=teams_small)
+    f = lookup_fk(f, teams, "team", "team_name", "team_id")
     return f.select(
         F.col("standing_id").alias("standings_id"), "season_id", "phase_id", "team_id",
         F.col("team").alias("team_name"), "competition_group",
@@ -237,21 +234,9 @@ class Star:
     small job; facts stay lazy until an action.
     """
 
-    def __init__(self, raw: dict[str, DataFrame], check_dims: bool = True):
+    def __init__(self, raw: dict[str, DataFrame]):
         self.raw = raw
-        self.check_dims = check_dims
         self._m: dict[str, DataFrame] = {}
-        self._small: dict[str, bool | None] = {}
-
-    def small(self, dim: str) -> bool | None:
-        """Size check of a dimension that grows with the data (teams,
-        players), done once per star: True when its row count is under the
-        broadcast bound. None (no check) leaves the choice to Spark."""
-        if not self.check_dims:
-            return None
-        if dim not in self._small:
-            self._small[dim] = fits_broadcast(self[dim])
-        return self._small[dim]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._m:
@@ -273,20 +258,19 @@ class Star:
 
     def _fct_matches(self):
         return fct_matches(self["int_matches"], self["dim_seasons"], self["dim_phases"],
-                           self["dim_teams"], self.small("dim_teams"))
+                           self["dim_teams"])
 
     def _fct_team_matches(self):
         return fct_team_matches(self["int_matches"], self["dim_seasons"], self["dim_phases"],
-                                self["dim_teams"], self.small("dim_teams"))
+                                self["dim_teams"])
 
     def _fct_match_events(self):
         return fct_match_events(self["stg_match_events"], self["stg_matches"],
-                                self["dim_players"], self["dim_teams"],
-                                self.small("dim_players"), self.small("dim_teams"))
+                                self["dim_players"], self["dim_teams"])
 
     def _fct_standings(self):
         return fct_standings(self["stg_standings"], self["dim_seasons"], self["dim_phases"],
-                             self["dim_teams"], self.small("dim_teams"))
+                             self["dim_teams"])
 
 
 def build_star(raw: dict[str, DataFrame]) -> Star:

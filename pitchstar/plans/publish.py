@@ -14,7 +14,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks as C
-from ..sources.raw import (create_database, diff_counts, drop_table, materialize, save_table,
+from ..sources.raw import (attach_table, create_database, diff_counts, drop_table, materialize, save_table,
                            table_counts)
 from .models import MODEL_NAMES, Star
 
@@ -38,9 +38,9 @@ class StoredStar(Star):
     """A Star whose every model is written to ``db`` when first needed and
     then read back from there."""
 
-    def __init__(self, raw: dict[str, DataFrame], db: str, check_dims: bool = True,
+    def __init__(self, raw: dict[str, DataFrame], db: str,
                  partitioning: dict | None = None):
-        super().__init__(raw, check_dims)
+        super().__init__(raw)
         self.db = db
         self.partitioning = PARTITIONING if partitioning is None else partitioning
 
@@ -71,17 +71,15 @@ def build_star_tables(raw: dict[str, DataFrame], db: str, threads: int = 4) -> S
             for name in wave:
                 star[name]
             continue
-        if "fct_matches" in wave:
-            # size checks of the growing dims, once, before the facts use them
-            star.small("dim_teams"), star.small("dim_players")
         with ThreadPoolExecutor(max_workers=threads) as pool:
             list(pool.map(lambda n: star[n], wave))
     return star
 
 
 def copy_table(spark: SparkSession, src: str, dst: str) -> None:
+    """Copy a table with the layout its model is stored in."""
     db, name = dst.split(".", 1)
-    save_table(spark.table(src), db, name)
+    save_table(spark.table(src), db, name, PARTITIONING.get(name))
 
 
 def has_rows(spark: SparkSession, db: str, tables: list[str]) -> bool:
@@ -131,8 +129,8 @@ def promote(spark: SparkSession, pre: str, prod: str, summary: DataFrame,
 def attach_tables(spark: SparkSession, db: str, location: str) -> list[str]:
     """Register every table folder under a database's location that the
     session's catalog does not know yet (e.g. written by an earlier run when
-    the catalog is not persistent), as an external Parquet table. Partition
-    folders are discovered from the layout."""
+    the catalog is not persistent), as an external Parquet table with its
+    recorded schema and partitions."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(location)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -143,7 +141,7 @@ def attach_tables(spark: SparkSession, db: str, location: str) -> list[str]:
         name = st.getPath().getName()
         if st.isDirectory() and not name.startswith(("_", ".")) \
                 and not spark.catalog.tableExists(f"{db}.{name}"):
-            spark.catalog.createTable(f"{db}.{name}", path=st.getPath().toString(), source="parquet")
+            attach_table(spark, db, name, st.getPath().toString())
             added.append(name)
     return added
 

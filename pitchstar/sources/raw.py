@@ -7,12 +7,14 @@ catalog databases whose folders sit on shared storage.
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pyspark.errors import AnalysisException
 
@@ -22,7 +24,10 @@ from ..session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8",
+# multiLine: a quoted field may hold line breaks; white space around a value
+# is part of it, on both sides.
+CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                "dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
 
@@ -93,6 +98,46 @@ def save_table(df: DataFrame, db: str, name: str, partition_by: list[str] | None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(f"{db}.{name}")
+    _record_schema(df.sparkSession, db, name, partition_by or [])
+
+
+SCHEMA_FILE = "_table_schema.json"     # readers skip names with an underscore
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _record_schema(spark: SparkSession, db: str, name: str, partition_by: list[str]) -> None:
+    """Keep the table's types and partition columns beside its files: neither
+    can be read back from partition folder names."""
+    fs, p = _file(spark, f"{table_path(spark, db, name)}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps({"schema": spark.table(f"{db}.{name}").schema.json(), "partition_by": partition_by}), "utf-8"))
+    finally:
+        out.close()
+
+
+def attach_table(spark: SparkSession, db: str, name: str, path: str) -> None:
+    """Register an existing table folder with its recorded types and all its
+    partitions; a folder without a record is registered as it reads."""
+    fs, p = _file(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+        return
+    stream = fs.open(p)
+    try:
+        told = json.loads(spark.sparkContext._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next())
+    finally:
+        stream.close()
+    schema = StructType.fromJson(json.loads(told["schema"]))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in told['partition_by'])})" if told["partition_by"] else ""
+    spark.sql(f"CREATE TABLE {db}.{name} ({cols}) USING parquet{parts} LOCATION '{path}'")
+    if told["partition_by"]:
+        spark.sql(f"ALTER TABLE {db}.{name} RECOVER PARTITIONS")
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> str:

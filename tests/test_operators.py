@@ -13,7 +13,7 @@ def test_number_rows_equals_global_row_number(spark):
     rnd = random.Random(7)
     names = list({f"n{rnd.randint(0, 10**6):07d}" for _ in range(3000)})
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(13)
-    got = number_rows(df, ["name"], "id", num_partitions=9, single_task_max=0)
+    got = number_rows(df, ["name"], "id", num_partitions=9)
     want = df.withColumn("id", F.row_number().over(Window.orderBy("name")).cast("bigint"))
     assert sorted(got.collect()) == sorted(want.collect())
     ids = sorted(r.id for r in got.select("id").collect())
@@ -98,7 +98,7 @@ def test_running_total_both_paths(spark):
     want = {k: (t or 0) for k, t in want.items()}
     for stm in (0, 10**6):
         got = {r.k: r.t for r in running_total(df, ["k"], "v", "t", exclusive=True,
-                                               num_partitions=6, single_task_max=stm).collect()}
+                                               num_partitions=6).collect()}
         assert got == want
 
 
@@ -106,7 +106,7 @@ def test_number_rows_splits_ties(spark):
     # a third of the rows share one order value: ids are still 1..n
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
                                      .otherwise(F.col("id").cast("string")).alias("k"), "id")
-    got = number_rows(df, ["k"], "rid", num_partitions=8, single_task_max=0)
+    got = number_rows(df, ["k"], "rid", num_partitions=8)
     assert sorted(r.rid for r in got.collect()) == list(range(1, 3001))
     hot = [r.rid for r in got.filter("k = 'hot'").collect()]
     assert len(hot) == 1000 and max(hot) - min(hot) == 999   # contiguous block

@@ -65,10 +65,10 @@ def test_newest_merge_split_invariant(spark, base, new, cut):
 
 @settings(**SETTINGS)
 @given(names=st.sets(st.text(alphabet="abcxyz ", min_size=1, max_size=6), min_size=1, max_size=40),
-       parts=st.integers(1, 7), small=st.booleans())
-def test_numbering_is_dense_and_ordered(spark, names, parts, small):
+       parts=st.integers(1, 7))
+def test_numbering_is_dense_and_ordered(spark, names, parts):
     d = spark.createDataFrame([(n,) for n in names], "name string")
-    got = number_rows(d, ["name"], "id", num_partitions=parts, single_task_max=10**6 if small else 0)
+    got = number_rows(d, ["name"], "id", num_partitions=parts)
     pairs = sorted((r.id, r.name) for r in got.collect())
     assert [i for i, _ in pairs] == list(range(1, len(names) + 1))
     assert [n for _, n in pairs] == sorted(names, key=lambda s: s.encode())
