@@ -25,7 +25,7 @@ Method. Every document gets ``COORDINATES`` MinHash values, posted as tokens
    what comes out is one row for a document and a component in which some
    member reaches the match threshold, not one for each such member.
 5. Links are confirmed on the full sets: pairs one by one, a document against a
-   large component by visiting blocks of its members until the first link.
+   component of several by visiting blocks of its members until the first link.
    Components follow.
 
 Defined cases: a null text is an empty one; a null id sorts after all others
@@ -225,14 +225,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meets = cut(visiting.select(*kept).groupBy("token", "block").cogroup(there.groupBy("h_token", "h_block"))
                 .applyInArrow(meeter(percent), "x long, component long, size long").distinct())
     member = left.select(F.col("rep").alias("y"), F.col("component").alias("c")).distinct()
-    few = meets.where(F.col("size") <= SMALL).join(member, F.col("component") == F.col("c")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    few = meets.where("size = 1").join(member, F.col("component") == F.col("c")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = pairs_of(left.where(F.col("many") <= SMALL)).union(few).distinct()
     counted = (pairs.join(signs.select(F.col("rep").alias("a"), F.col("sign").alias("sa")), "a")
                .join(signs.select(F.col("rep").alias("b"), F.col("sign").alias("sb")), "b")
                .where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b").distinct())
     more = near(cut(counted))
 
-    large = meets.where(F.col("size") > SMALL)
+    large = meets.where("size > 1")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     hosts = (member.join(large.select(F.col("component").alias("l"), "size").distinct(), F.col("c") == F.col("l"))
              .join(texts, F.col("id") == F.col("y")).select(F.col("c").alias("h_c"), F.pmod(F.xxhash64("y"), parts).cast("int").alias("h_block"), F.col("id").alias("h_id"), F.col("text").alias("h_text")))
