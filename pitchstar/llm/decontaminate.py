@@ -43,7 +43,7 @@ SLACK = 12
 class Items:
     """Words and n-grams of some items; the same for documents."""
 
-    def __init__(self, column: pa.Array, n: int):
+    def __init__(self, column: pa.Array, n: int, shorter: tuple = ()):
         self.words = w = Words(*text_buffers(column), lower=True, separators=MARKS)
         size = np.diff(w.first)
         self.at = np.arange(len(w.hash))
@@ -52,6 +52,10 @@ class Items:
         self.at = self.at[(self.at + n <= last) | short]
         self.row = np.searchsorted(w.first, self.at, "right") - 1
         end = np.minimum(self.at + n, w.first[self.row + 1])
+        for m in shorter:  # for items of so few words
+            at = np.flatnonzero(np.arange(len(w.hash)) + m <= last)
+            self.at, end = np.concatenate((self.at, at)), np.concatenate((end, at + m))
+        self.row = np.searchsorted(w.first, self.at, "right") - 1
         self.gram = span_hash(prefix_hash(w.hash, BASE), self.at, end)
 
 
@@ -77,6 +81,7 @@ class Seeds:
     def __init__(self, rows: pa.Table, n: int):
         self.nr = rows.column("nr").to_pylist()
         self.items = Items(rows.column("text"), n)
+        self.shorter = tuple(sorted({int(x) for x in np.diff(self.items.words.first) if 0 < x < n}))
         self.grams, self.gram_of = np.unique(self.items.gram, return_inverse=True)
 
     def choose(self, times: np.ndarray, least: int = SEEDS) -> None:
@@ -172,12 +177,12 @@ def prepare(docs: DataFrame, items: DataFrame, text_col: str, n: int) -> Iterato
         seeds = Seeds(rows, n)
         known = spark.sparkContext.broadcast(seeds.grams)
 
-        def count(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+        def count(batches: Iterator[pa.RecordBatch], known=known, shorter=seeds.shorter) -> Iterator[pa.RecordBatch]:
             keys = known.value
             total = np.zeros(len(keys), np.int64)
             for b in batches:
                 for part in slices(b):
-                    x = Items(part.column("text"), n)
+                    x = Items(part.column("text"), n, shorter)
                     total += np.bincount(find(keys, x.gram)[1], minlength=len(keys))
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["nr", "times"])
@@ -202,7 +207,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             s = seeds.value
             for b in batches:
                 for part in slices(b):
-                    got = list(matches(Items(part.column("text"), n), part.num_rows, s, least))
+                    got = list(matches(Items(part.column("text"), n, s.shorter), part.num_rows, s, least))
                     ids = part.column("id").to_pylist()
                     yield pa.RecordBatch.from_arrays([pa.array([ids[x[0]] for x in got], pa.int64()), pa.array([s.nr[x[1]] for x in got], pa.int64()),
                                                       pa.array([x[2] for x in got], pa.float64()), pa.array([x[3] for x in got], pa.int64())], ["id", "item_id", "score", "end_word"])
@@ -221,7 +226,7 @@ def clean_rows(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
             for b in batches:
                 for part in slices(b, text_col):
                     ok = np.ones(part.num_rows, bool)
-                    ok[[x[0] for x in matches(Items(part.column(text_col), n), part.num_rows, seeds.value, least)]] = False
+                    ok[[x[0] for x in matches(Items(part.column(text_col), n, seeds.value.shorter), part.num_rows, seeds.value, least)]] = False
                     yield part.filter(pa.array(ok))
         out = out.mapInArrow(stay, docs.schema)
     return out
