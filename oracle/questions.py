@@ -220,3 +220,39 @@ LEFT JOIN (SELECT DISTINCT match_id, season_id FROM fct_matches) m ON e.match_id
 LEFT JOIN dim_seasons s ON m.season_id = s.season_id
 WHERE e.event_type = 'goal'
 GROUP BY s.season_name, e.team_name""")
+
+
+def ask_home_team():
+    return with_models("""
+SELECT s.season_name, t.team_name AS home_team_team_name, CAST(sum(m.home_score) AS BIGINT) AS scored, count(m.match_id) AS matches
+FROM fct_matches m
+LEFT JOIN dim_seasons s ON m.season_id = s.season_id
+LEFT JOIN dim_teams t ON m.home_team_id = t.team_id
+WHERE m.competition_name LIKE '%Premier%'
+GROUP BY ALL""")
+
+
+def ask_opponent():
+    return with_models("""
+SELECT t.team_name, o.team_name AS opponent_team_name, count(*) AS matches
+FROM fct_team_matches m
+JOIN dim_seasons s ON m.season_id = s.season_id AND s.season_name BETWEEN '1996-1997' AND '1998-1999'
+JOIN dim_teams o ON m.opponent_id = o.team_id AND o.team_name LIKE '%_1%'
+LEFT JOIN dim_teams t ON m.team_id = t.team_id
+GROUP BY ALL""")
+
+
+def ask_top_members():
+    return with_models("""
+, g AS (
+  SELECT p.player_name, s.season_name, count(*) AS goals
+  FROM fct_match_events e
+  LEFT JOIN dim_players p ON e.player_id = p.player_id
+  LEFT JOIN (SELECT DISTINCT match_id, season_id FROM fct_matches) m ON e.match_id = m.match_id
+  LEFT JOIN dim_seasons s ON m.season_id = s.season_id
+  WHERE e.event_type = 'goal' AND e."minute" >= 10
+  GROUP BY ALL
+), best AS (
+  SELECT player_name FROM g GROUP BY 1 ORDER BY sum(goals) DESC, player_name NULLS FIRST LIMIT 5
+)
+SELECT * FROM g WHERE player_name IN (SELECT player_name FROM best)""")

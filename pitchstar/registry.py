@@ -114,6 +114,14 @@ def spark_queries() -> dict:
         "expr_dates": XP.dates,
         "ask_goals_by_team": _question(AK.ask, "fct_match_events", {"goals": ("count", "event_id")},
                                        ["season_name", "team_name"], {"event_type": "goal"}),
+        "ask_home_team": _question(AK.ask, "fct_matches", {"scored": ("sum", "home_score"), "matches": ("count", "match_id")},
+                                   ["season_name", "home_team.team_name"], {"competition_name": ("like", "%Premier%")}),
+        "ask_opponent": _question(AK.ask, "fct_team_matches", {"matches": ("count", "team_match_id")},
+                                  ["team_name", "opponent.team_name"],
+                                  {"season_name": ("between", ("1996-1997", "1998-1999")), "opponent.team_name": ("like", "%_1%")}),
+        "ask_top_members": _question(AK.ask, "fct_match_events", {"goals": ("count", "event_id")},
+                                     ["player_name", "season_name"], {"event_type": "goal", "minute": (">=", 10)},
+                                     (5, "goals", ["player_name"])),
         "stream_upsert": ST.stream_upsert,
     })
     return q
@@ -190,6 +198,9 @@ def oracle_queries() -> dict:
         "expr_player": OE.players(),
         "expr_dates": OE.dates(),
         "ask_goals_by_team": OQ.ask_goals_by_team(),
+        "ask_home_team": OQ.ask_home_team(),
+        "ask_opponent": OQ.ask_opponent(),
+        "ask_top_members": OQ.ask_top_members(),
         "stream_upsert": OI.upsert_matches(),
     })
     return o
