@@ -214,6 +214,38 @@ def test_decontaminate(spark, docs, rows, none):
     assert decontaminate.clean_rows(docs, items.where("false")).count() == len(rows) and decontaminate.contaminated(none, items).count() == 0
 
 
+def test_decontaminate_finds_every_edited_copy(spark):
+    rnd = random.Random(12)
+    common, rare = [f"c{i}" for i in range(40)], [f"r{i}" for i in range(4000)]
+    make = lambda n: [rnd.choice(common if rnd.random() < 0.5 else rare) for _ in range(n)]
+    items = [make(rnd.randint(20, 60)) for _ in range(40)]
+    texts = [make(rnd.randint(0, 150)) for _ in range(60)]
+    for k, item in enumerate(items):  # one word in ten to one in three replaced; words put in; the common ones only
+        for part in (0.1, 0.2, 0.3):
+            w = list(item)
+            for j in rnd.sample(range(len(w)), int(part * len(w))):
+                w[j] = f"new{rnd.getrandbits(40)}"
+            texts.append(make(rnd.randint(0, 90)) + w + make(rnd.randint(0, 90)))
+        texts += [[x if j % 3 else f"new{j}" for j, x in enumerate(item)], [y for j, x in enumerate(item) for y in (x, f"in{j}")],
+                  item[:len(item) // 2] + make(rnd.randint(5, 25)) + item[len(item) // 2:], [x for x in item if x in common]]
+    want = {}
+    for i, t in enumerate(texts):
+        for k, item in enumerate(items):
+            if t and (s := decontaminate.align(np.array([hash(x) for x in item], np.int64), np.array([hash(x) for x in t], np.int64))[0] / len(item)) >= 0.5:
+                want[i, k] = s
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    got = {(r.id, r.item_id): r.score for r in decontaminate.contaminated(docs, table).collect()}
+    assert set(got) == set(want) and len(want) > 200 and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+    assert decontaminate.clean_rows(docs, table).count() == len(texts) - len({i for i, _ in want})
+
+
+def test_decontaminate_lowers_every_alphabet(spark):
+    docs = spark.createDataFrame([(1, "ÑANDÚ ÓLEO ÉPOCA ΑΒΓ ЖУК"), (2, "ñandú óleo"), (3, "ñandu oleo epoca")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "ñandú óleo época αβγ жук")], "item_id long, text string")
+    assert [(r.id, r.score) for r in decontaminate.contaminated(docs, items).collect()] == [(1, 1.0)]
+
+
 def test_smith_waterman_against_the_full_matrix():
     rnd = random.Random(9)
     for _ in range(60):
