@@ -159,6 +159,32 @@ def test_source_mix(docs, rows, none):
     assert source_mix.mix(none).count() == 0
 
 
+def test_source_mix_walks_on_past_a_huge_document(spark):
+    rnd = random.Random(8)
+    data = [(0, "x " * 30000, "a")] + [(i, "y " * rnd.randint(60, 120), "a") for i in range(1, 300)]
+    data += [(1000 + i, "z " * rnd.randint(60, 120), "b") for i in range(250)] + [(5000, "p " * 90, "b"), (5000, "p " * 90, "b")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    for seed in range(2):
+        got = source_mix.draws(docs, seed=seed, weights=(1.0, 3.0)).collect()
+        for source in "ab":
+            own = [r for r in got if r.source == source]
+            target, size = own[0].target, own[0].source_size
+            units = {}
+            for r in own:
+                units.setdefault(r.line, []).append(r)
+            gap, drawn = target - target // size * size, set()
+            for line in sorted(units):
+                w = sum(r.size for r in units[line])
+                if w <= gap:
+                    gap -= w
+                    drawn.add(line)
+            near = [(abs(sum(r.size for r in u) - gap), line) for line, u in units.items() if line not in drawn]
+            near = [x for x in near if x[0] < gap]
+            drawn |= {min(near)[1]} if near else set()
+            assert all(r.copies == target // size + (r.line in drawn) for r in own)
+            assert abs(sum(r.size * r.copies for r in own) - target) <= 60 < size
+
+
 def test_warc_rejects_records_inside_payloads(spark, tmp_path):
     evil = "<p>WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n tail\r\n\r\n</p>"
     pages = [(i, f"http://h/{i}", x) for i, x in enumerate(["a" * 50, None, "", evil, "dup", "dup", evil, "é\r\n\r\nx" * 20, "WARC/1.1\r\n", "\r\n\r\n"] + ["z%d" % k * 300 for k in range(20)])]
