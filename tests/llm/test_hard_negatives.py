@@ -52,8 +52,8 @@ def test_against_a_plain_version(spark, monkeypatch):
     df = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA).repartition(5)
     want = plain(rows)
     assert len(want) > 50
-    for block, anchors, tile in ((65536, 1024, 4096), (40, 7, 11)):
-        monkeypatch.setattr(H, "BLOCK", block), monkeypatch.setattr(H, "ANCHORS", anchors), monkeypatch.setattr(H, "TILE", tile)
+    for block, anchors in ((65536, 1024), (40, 7)):
+        monkeypatch.setattr(H, "BLOCK", block), monkeypatch.setattr(H, "ANCHORS", anchors)
         got = H.hard_negatives(df, every=3, scale=4, positives=2, negatives=3)
         assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
         assert sorted(map(tuple, got.collect())) == want
@@ -69,3 +69,18 @@ def test_long_values(spark):
     df = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA)
     # every component beyond a long is held at its end, and so is the score
     assert [tuple(r) for r in H.hard_negatives(df, every=10, scale=1, low=30, high=100).collect()] == [(0, 1, 1, 2, H.HIGH, H.HIGH), (0, 1, 2, 3, H.HIGH, H.HIGH)]
+
+
+def test_heaps_merge_tile_by_tile():
+    rnd = np.random.default_rng(8)
+    s, ids = rnd.integers(-3, 4, (20, 500)), rnd.permutation(500)
+    s[3] = H.LOW
+    allowed = rnd.random(s.shape) < 0.5
+    allowed[5] = False
+    heaps = H.Heaps(20, 7)
+    for at in range(0, 500, 13):
+        H._offer(heaps, np.arange(20), s[:, at:at + 13].copy(), allowed[:, at:at + 13].copy(), ids[at:at + 13])
+    for row in range(20):
+        mine = heaps.slot == row
+        want = sorted((-int(s[row, j]), int(ids[j])) for j in range(500) if allowed[row, j])[:7]
+        assert list(zip((-heaps.score[mine].astype(object)).tolist(), heaps.id[mine].tolist())) == want
