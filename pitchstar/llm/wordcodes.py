@@ -31,10 +31,10 @@ def code_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     Spans don't overlap and stand in order; no byte outside them is looked at.
     """
     size = end - start
-    inside = np.zeros(len(data) + 1, np.int32)
+    inside = np.zeros(len(data) + 1, np.int8)
     inside[start] += 1
-    np.subtract.at(inside, end, 1)
-    bytes_ = data[np.cumsum(inside[:-1]).astype(bool)]
+    inside[end] -= 1
+    bytes_ = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
     offsets = np.zeros(len(start) + 1, np.int64)
     np.cumsum(size, out=offsets[1:])
     words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bytes_))])
