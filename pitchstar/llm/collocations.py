@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pitchstar.operators.numbering import number_rows
 
 from .common import cut, drop, slices, table, text_buffers
-from .wordcodes import SLICE, code_words, pack, spans, unpack, written
+from .wordcodes import LOOK, SLICE, code_words, pack, spans, unpack, words_of, written
 
 TILE = 256
 #: Pairs that make a tile dense.
@@ -62,20 +62,28 @@ _CODED = pa.schema([("kind", pa.string()), ("slice", pa.int64()), ("lang", pa.st
 
 # ------------------------------------------------------------------ slices
 
-def _code_slice(number: int, lang: str, texts: pa.Array):
-    """One row for each distinct word, one for the stream; -1 ends a piece."""
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words, and whether each is the last of its piece."""
     data, offsets = text_buffers(texts)
     data = _LOWER[data]
     start, end = spans(data, offsets, _SEPARATOR)
-    if not len(start):
+    marks = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(_MARK[data], out=marks[1:], dtype=np.int32)
+    last = np.ones(len(start), bool)
+    last[:-1] = (np.diff(np.searchsorted(offsets, start, "right")) > 0) | (marks[start[1:]] > marks[end[:-1]])
+    return words_of(data, start, end), last
+
+
+def _code_slice(number: int, lang: str, texts: list):
+    """One row for each distinct word, one for the stream; -1 ends a piece."""
+    looked = [_words(part.column("text")) for t in texts for part in slices(pa.table({"text": t}), most=LOOK)]
+    codes, words = code_words([w for w, _ in looked])
+    if not len(codes):
         return
-    codes, words = code_words(data, start, end)
-    marks = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(_MARK[data], out=marks[1:])
-    row = np.searchsorted(offsets, start, "right")
-    ends = (np.diff(row) > 0) | (marks[start[1:]] > marks[end[:-1]])
+    ends = np.concatenate([last for _, last in looked])
+    del looked
     stream = np.full(len(codes) + int(ends.sum()), -1, np.int32)
-    stream[np.arange(len(codes)) + np.concatenate([[0], np.cumsum(ends)])] = codes
+    stream[np.arange(len(codes)) + np.cumsum(ends) - ends] = codes
     m = len(words)
     fixed = lambda value, type_, k: pa.array([value], type_).take(pa.array(np.zeros(k, np.int64)))
     yield pa.RecordBatch.from_arrays(
@@ -94,7 +102,7 @@ def code_texts(batches):
         nonlocal made
         made += 1
         size.pop(lang)
-        yield from _code_slice(first + made, lang, pa.concat_arrays(texts.pop(lang)))
+        yield from _code_slice(first + made, lang, texts.pop(lang))
 
     for batch in batches:
         for part in slices(batch, most=SLICE):

@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, slices, table, text_buffers
-from .wordcodes import SLICE, code_words, pack, spans, unpack, written
+from .wordcodes import SLICE, code_words, pack, spans, unpack, words_of, written
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Uses that the existing weights are worth against expected ones.
@@ -241,7 +241,7 @@ def code_documents(batches):
             data, offsets = text_buffers(part.column("text"))
             data = _LOWER[data]
             start, end = spans(data, offsets, _SPACE)
-            codes, words = code_words(data, start, end)
+            codes, words = code_words([words_of(data, start, end)])
             sizes = np.diff(np.searchsorted(start, offsets))
             learned = np.asarray(part.column("learned").to_numpy(zero_copy_only=False), bool)
             m = len(words)

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pitchstar.session import ensure_checkpoint_dir
 
 SLICE = 8 << 20
+#: Bytes of a slice that are looked at together; a document is never parted.
+LOOK = 1 << 20
 
 
-def code_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """(code of each word, the distinct words) of the spans of a UTF-8 buffer.
-
-    Spans don't overlap and stand in order; no byte outside them is looked at.
-    """
+def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The spans of a UTF-8 buffer as strings; spans don't overlap and stand in
+    order, and no byte outside them is looked at."""
     size = end - start
     inside = np.zeros(len(data) + 1, np.int8)
     inside[start] += 1
@@ -37,9 +37,16 @@ def code_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     bytes_ = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
     offsets = np.zeros(len(start) + 1, np.int64)
     np.cumsum(size, out=offsets[1:])
-    words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bytes_))])
-    coded = words.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bytes_))])
+
+
+def code_words(parts: list) -> tuple[np.ndarray, pa.Array]:
+    """(code of each word, the distinct words) of some arrays of words."""
+    coded = pa.chunked_array(parts, pa.large_string()).dictionary_encode()
+    if not coded.num_chunks:
+        return np.zeros(0, np.int64), pa.array([], pa.large_string())
+    # all chunks share one dictionary
+    return np.concatenate([c.indices.to_numpy() for c in coded.chunks]).astype(np.int64), coded.chunk(coded.num_chunks - 1).dictionary
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
