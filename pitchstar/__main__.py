@@ -4,8 +4,8 @@ questions over a published star.
   python -m pitchstar refresh --collected DIR --root DIR [--name league] [--as-of DATE]
   python -m pitchstar ask --root DIR [--name league] top_scorers SEASON COMPETITION [N]
 
-``--root`` is the shared folder that holds the catalog databases
-(<name>_raw, _pre, _prod, _backup). On a cluster, launch with spark-submit
+``--root`` is the shared folder that holds the version store ``<name>``
+(see ``sources.versions``). On a cluster, launch with spark-submit
 so the master and spark.checkpoint.dir come from the cluster config.
 """
 
@@ -16,10 +16,10 @@ import datetime as dt
 import sys
 
 from .plans import questions as K
-from .plans.models import MODEL_NAMES
-from .plans.publish import RAW_TABLES, ensure_databases, refresh
+from .plans.publish import RAW_TABLES, refresh
 from .session import get_session
-from .sources.raw import path_exists, read_raw
+from .sources.raw import path_exists, read_raw, rejects
+from .sources.versions import Versions
 
 QUESTIONS = {
     "top_scorers": (K.top_scorers, [str, str, int]),
@@ -52,18 +52,20 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
 
     spark = get_session()
-    dbs = ensure_databases(spark, a.root, a.name)
+    store = Versions(spark, f"{a.root}/{a.name}")
     if a.cmd == "refresh":
-        batches = {t: read_raw(spark, f"{a.collected}/{t}", t) for t in RAW_TABLES
+        batches = {t: read_raw(spark, f"{a.collected}/{t}", t, sequence=True) for t in RAW_TABLES
                    if path_exists(spark, f"{a.collected}/{t}")}
         stamp = dt.datetime.now().strftime("%Y%m%d_%H%M")
-        published, summary, diff = refresh(spark, batches, dbs, stamp, a.as_of)
+        published, summary, diff = refresh(store, batches, stamp, a.as_of)
+        for t in batches:
+            rejects(spark, f"{a.collected}/{t}", t).groupBy("column_name").count().show(truncate=False)
         summary.filter("failures > 0").orderBy("severity", "model", "column_name").show(200, False)
         diff.show(truncate=False)
         print("published" if published else "NOT published: error checks failed")
         return 0 if published else 1
     fn, types = QUESTIONS[a.question]
-    star = {n: spark.table(f"{dbs['prod']}.{n}") for n in MODEL_NAMES}
+    star = store.tables()
     vals = [t(v) for t, v in zip(types, a.args)]
     fn(star, *vals).show(100, False)
     return 0

@@ -9,10 +9,11 @@ from pyspark.sql.types import StringType, StructType
 from .text import strip_spaces
 
 
-def typed(df: DataFrame, schema: StructType, untrusted: bool = True) -> DataFrame:
+def typed(df: DataFrame, schema: StructType, untrusted: bool = True, keep: list[str] = ()) -> DataFrame:
     """Cast every column of ``schema`` to its declared type, in schema
     order. Text columns cast to non-text types use ``try_cast`` when
-    ``untrusted`` (bad text -> NULL instead of a failed job under ANSI)."""
+    ``untrusted`` (bad text -> NULL instead of a failed job under ANSI).
+    Columns of ``keep`` follow as they are."""
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
@@ -21,7 +22,7 @@ def typed(df: DataFrame, schema: StructType, untrusted: bool = True) -> DataFram
             cols.append(strip_spaces(c).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def project(df: DataFrame, mapping: dict) -> DataFrame:

@@ -1,22 +1,26 @@
 """Build, check and publish.
 
-Flow: load raw tables into the working database, build every model into it
-as a table (downstream models read the stored upstream tables: lineage is
-cut at each layer and a lost executor only recomputes one layer), run the
-checks over the stored tables, and copy the working raw tables to
-production only when no error-severity check failed.
+Flow: start a draft of the published version, merge the run's rows into the
+parts of the raw tables that they touch, write the models whose raw tables
+changed (downstream models read the stored upstream tables: lineage is cut at
+each layer and a lost executor only recomputes one layer), run the checks over
+the stored tables, and publish the draft, by renaming one pointer, only when no
+error-severity check failed. See ``sources.versions``.
 """
 
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import checks as C
-from ..sources.raw import (attach_table, create_database, diff_counts, drop_table, materialize, save_table,
-                           table_counts)
-from .models import MODEL_NAMES, Star
+from ..operators.upsert import batch_order
+from ..schemas import RAW, UPSERT_KEYS
+from ..sources.raw import attach_table, create_database, diff_counts, materialize
+from ..sources.versions import Draft, Versions
+from .models import Star
 
 log = logging.getLogger(__name__)
 
@@ -64,7 +68,6 @@ def build_star_tables(raw: dict[str, DataFrame], db: str, threads: int = 4) -> S
     are independent, so up to ``threads`` of their jobs run at once (Spark
     accepts jobs from several threads of one session), like a warehouse
     building independent models concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
     star = StoredStar(raw, db)
     for wave in WAVES:
         if threads <= 1:
@@ -76,54 +79,60 @@ def build_star_tables(raw: dict[str, DataFrame], db: str, threads: int = 4) -> S
     return star
 
 
-def copy_table(spark: SparkSession, src: str, dst: str) -> None:
-    """Copy a table with the layout its model is stored in."""
-    db, name = dst.split(".", 1)
-    save_table(spark.table(src), db, name, PARTITIONING.get(name))
+#: Raw tables that a model is made from, directly or through other models.
+READS = {
+    "stg_standings": {"standings"}, "stg_matches": {"matches"}, "stg_match_events": {"match_events"},
+    "int_matches": {"matches"}, "int_team_matches": {"matches"},
+    "dim_seasons": {"standings", "matches"}, "dim_phases": {"standings"}, "dim_teams": {"standings"},
+    "dim_players": {"match_events"},
+    "fct_matches": {"standings", "matches"}, "fct_team_matches": {"standings", "matches"},
+    "fct_match_events": {"standings", "matches", "match_events"}, "fct_standings": {"standings", "matches"},
+}
 
 
-def has_rows(spark: SparkSession, db: str, tables: list[str]) -> bool:
-    return any(spark.catalog.tableExists(f"{db}.{t}") and not spark.table(f"{db}.{t}").isEmpty()
-               for t in tables)
+class DraftStar(Star):
+    """A Star in a version: models whose raw tables the run left alone keep the
+    folder of the base version, the others are written to the run's own."""
+
+    def __init__(self, draft: Draft):
+        super().__init__({t: draft.table(t) for t in RAW_TABLES})
+        self.draft = draft
+        self.same = {t for t in RAW_TABLES if draft.unchanged(t)}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._m:
+            if name in self.draft.entries and READS[name] <= self.same:
+                self._m[name] = self.draft.table(name)
+            else:
+                df = getattr(self, "_" + name)()
+                self._m[name] = self.draft.write(name, df, PARTITIONING.get(name)).select(*df.columns)
+        return self._m[name]
 
 
 # A13
-def prepare(spark: SparkSession, prod: str, pre: str, backup: str, stamp: str,
-            tables: list[str] = RAW_TABLES) -> list[str]:
-    """Snapshot production tables into ``backup`` as ``<table>_<stamp>``
-    (skipped when production is empty), then reset the working copy ``pre``
-    and start it from production. Returns the tables copied."""
-    if has_rows(spark, prod, tables):
-        for t in tables:
-            if spark.catalog.tableExists(f"{prod}.{t}"):
-                copy_table(spark, f"{prod}.{t}", f"{backup}.{t}_{stamp}")
-    else:
-        log.info("production %s is empty: no backup taken", prod)
-    done = []
-    for t in tables:
-        drop_table(spark, pre, t)
-        if spark.catalog.tableExists(f"{prod}.{t}"):
-            copy_table(spark, f"{prod}.{t}", f"{pre}.{t}")
-            done.append(t)
-    return done
+def prepare(store: Versions, stamp: str) -> Draft:
+    """The working copy: a draft that names production's folders. Nothing is
+    copied; production as it stands is the backup, under its version."""
+    if store.current() is None:
+        log.info("%s holds no version yet: nothing to start from", store.root)
+    draft = store.begin(stamp)
+    for t in RAW_TABLES:
+        draft.entries.setdefault(t, {"schema": RAW[t].jsonValue(), "parts": {}})
+    return draft
 
 
 # A14
-def promote(spark: SparkSession, pre: str, prod: str, summary: DataFrame,
-            tables: list[str] = RAW_TABLES) -> tuple[bool, DataFrame]:
-    """Copy the working tables to production only if the checks passed.
-    Returns (published, before/after counts of production)."""
-    before = table_counts(spark, prod, tables)
-    before_rows = before.collect()  # one row per table: bounded by the table list
-    ok = C.passed(summary)
+def promote(store: Versions, draft: Draft, summary: DataFrame, tables: list[str] = RAW_TABLES) -> tuple[bool, DataFrame]:
+    """Publish the draft only if the checks passed. Returns (published,
+    before/after counts of production), the counts as the versions hold them."""
+    before, ok = store.rows(draft.base), C.passed(summary)
     if ok:
-        for t in tables:
-            if spark.catalog.tableExists(f"{pre}.{t}"):
-                copy_table(spark, f"{pre}.{t}", f"{prod}.{t}")
+        store.publish(draft)
     else:
-        log.warning("checks failed: production %s left untouched", prod)
-    b = spark.createDataFrame(before_rows, before.schema)
-    return ok, diff_counts(b, table_counts(spark, prod, tables))
+        log.warning("checks failed: production %s left untouched", store.root)
+    counts = lambda rows: store.spark.createDataFrame(
+        [(t, rows.get(t, 0)) for t in tables], "table_name string, row_count bigint")
+    return ok, diff_counts(counts(before), counts(store.rows(store.current())))
 
 
 def attach_tables(spark: SparkSession, db: str, location: str) -> list[str]:
@@ -147,47 +156,39 @@ def attach_tables(spark: SparkSession, db: str, location: str) -> list[str]:
 
 
 def ensure_databases(spark: SparkSession, root: str, prefix: str) -> dict[str, str]:
-    """raw / pre / prod / backup databases under ``root``; tables left there
-    by earlier runs are attached, so production carries over between runs."""
+    """raw / pre databases under ``root``; tables left there by earlier runs
+    are attached. (Production is a version store, not a database.)"""
     dbs = {}
-    for k in ("raw", "pre", "prod", "backup"):
+    for k in ("raw", "pre"):
         loc = f"{root}/{prefix}_{k}.db"
         dbs[k] = create_database(spark, f"{prefix}_{k}", loc)
         attach_tables(spark, dbs[k], loc)
     return dbs
 
 
-def refresh(spark: SparkSession, batches: dict[str, DataFrame], dbs: dict[str, str],
-            stamp: str, as_of=None) -> tuple[bool, DataFrame, DataFrame]:
+def refresh(store: Versions, batches: dict[str, DataFrame], stamp: str, as_of=None,
+            threads: int = 4) -> tuple[bool, DataFrame, DataFrame]:
     """The weekly flow as plain calls, in order:
 
-    1. prepare: back up production raw tables, start the working copy;
-    2. merge this run's collected rows into the working raw tables (A6);
-    3. build every model into the working database as tables;
-    4. run every check (Q1-Q7) over the stored models;
-    5. promote the working raw tables and models to production only if no
-       error-severity check failed (Q8, A14).
-
-    ``batches`` maps a raw table name to this run's rows. Returns
-    (published, check summary, before/after counts of production raw tables).
+    1. prepare: a draft of the current version (A13);
+    2. merge this run's collected rows into the parts they touch (A6);
+    3. build the models whose raw tables changed, as tables of the draft;
+    4. run every check (Q1-Q7) over the draft's models;
+    5. publish the draft as a whole, by one rename, only if no error-severity
+       check failed (Q8, A14).
+
+    ``batches`` maps a raw table name to this run's rows; rows that carry their
+    place in the input (``read_raw(.., sequence=True)``) are merged in that
+    order. Returns (published, check summary, before/after counts of the raw
+    tables in production).
     """
-    from ..operators.upsert import upsert
-    from ..schemas import RAW, UPSERT_KEYS
-    prepare(spark, dbs["prod"], dbs["pre"], dbs["backup"], stamp)
-    for t in RAW_TABLES:
-        base = (spark.table(f"{dbs['pre']}.{t}") if spark.catalog.tableExists(f"{dbs['pre']}.{t}")
-                else spark.createDataFrame([], RAW[t]))
-        new = batches.get(t)
-        merged = base if new is None else upsert(base, new, UPSERT_KEYS[t], ["scraped_at"])
-        # write the merge to the raw database first: a table cannot be
-        # overwritten by a job that reads it
-        materialize(merged, dbs["raw"], t)
-        materialize(spark.table(f"{dbs['raw']}.{t}"), dbs["pre"], t)
-    star = build_star_tables({t: spark.table(f"{dbs['pre']}.{t}") for t in RAW_TABLES}, dbs["pre"])
-    summary = C.run_checks(star, as_of)
-    summary = materialize(summary, dbs["pre"], "check_summary")
-    published, diff = promote(spark, dbs["pre"], dbs["prod"], summary)
-    if published:
-        for name in MODEL_NAMES:
-            copy_table(spark, f"{dbs['pre']}.{name}", f"{dbs['prod']}.{name}")
+    draft = prepare(store, stamp)
+    for t, new in batches.items():
+        draft.merge(t, new, UPSERT_KEYS[t], batch_order(new), by="season")
+    star = DraftStar(draft)
+    for wave in WAVES:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            list(pool.map(lambda n: star[n], wave))
+    summary = draft.write("check_summary", C.run_checks(star, as_of))
+    published, diff = promote(store, draft, summary)
     return published, summary, diff

@@ -93,6 +93,10 @@ def spark_queries() -> dict:
         "count_diff": LD.count_diff,
         "source_lookup": LD.source_lookup,
         "promote_round_trip": LD.promote_round_trip,
+        "publish_versions": LD.publish_versions,
+        "merge_parts": LD.merge_parts,
+        "sequenced_upsert": LD.sequenced_upsert,
+        "raw_rejects": LD.raw_rejects,
         "page_elements": X.article_elements,
         "page_sections": X.article_sections,
         "page_rows": X.parsed_matches,
@@ -178,6 +182,10 @@ def oracle_queries() -> dict:
         "count_diff": OL.count_diff(),
         "source_lookup": OL.source_lookup(),
         "promote_round_trip": OL.promote_round_trip(),
+        "publish_versions": OL.publish_versions(),
+        "merge_parts": OL.merge_parts(),
+        "sequenced_upsert": OL.sequenced_upsert(),
+        "raw_rejects": OL.raw_rejects(),
         "page_elements": OX.page_elements(),
         "page_sections": OX.page_sections(),
         "page_rows": OX.page_rows(),

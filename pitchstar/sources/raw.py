@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from ..functions.casts import typed
+from ..operators.upsert import SEQ
 from ..schemas import RAW
 from ..session import ensure_checkpoint_dir
 
@@ -31,9 +32,20 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "multiLine"
                "dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
 
+# G2
+def sequenced(files: DataFrame) -> DataFrame:
+    """Add ``SEQ``, the place of a row in the input: file, start of the split,
+    place in the split. Rows of one split are read by one task in file order, so
+    the third part needs to be comparable within a split only; files follow each
+    other by path, as a collector's numbered or dated files do."""
+    return files.withColumn(SEQ, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                                          F.monotonically_increasing_id().alias("pos")))
+
+
 # A1
-def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
-    """Read one raw table (CSV or Parquet) into its declared schema.
+def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv", sequence: bool = False) -> DataFrame:
+    """Read one raw table (CSV or Parquet) into its declared schema;
+    ``sequence`` adds each row's place in the input.
 
     CSV columns are matched by header name, as a keyed-dict reader does: a
     file may list the columns in any order, a missing column reads as NULL,
@@ -42,15 +54,46 @@ def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> Da
     Empty fields are NULL."""
     schema = RAW[table]
     if fmt == "parquet":
-        return spark.read.schema(schema).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
+        return sequenced(stored) if sequence else stored
+    text = _csv_text(spark, path, table)
+    if text is None:
+        return spark.createDataFrame([], schema)
+    return typed(text, schema, keep=[SEQ] if sequence else [])
+
+
+def _csv_text(spark: SparkSession, path: str, table: str) -> DataFrame | None:
+    """The declared columns as text, with ``SEQ``; None without data files."""
     try:
         text = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
     except AnalysisException:      # an existing folder without data files
-        return spark.createDataFrame([], schema)
+        return None
     have = set(text.columns)
     cols = [(F.col(f"`{f.name}`") if f.name in have else F.lit(None).cast("string")).alias(f.name)
-            for f in schema.fields]
-    return typed(text.select(*cols), schema)
+            for f in RAW[table].fields]
+    return sequenced(text).select(*cols, SEQ)
+
+
+def rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A1's side output: every value that ``read_raw`` turns into NULL although
+    the file holds text for it, as (file, start, pos, column_name, text). One
+    scan; a row without bad values gives nothing."""
+    text = _csv_text(spark, path, table)
+    schema = RAW[table]
+    if text is None:
+        return spark.createDataFrame([], "file string, start long, pos long, column_name string, text string")
+    read = typed(text.select(*[F.col(f.name).alias(f"_t_{f.name}") for f in schema.fields], *schema.fieldNames(), SEQ), schema,
+                 keep=[f"_t_{f.name}" for f in schema.fields] + [SEQ])
+    bad = [F.when(F.col(f.name).isNull() & F.col(f"_t_{f.name}").isNotNull(),
+                  F.struct(F.lit(f.name).alias("column_name"), F.col(f"_t_{f.name}").alias("text")))
+           for f in schema.fields if f.dataType.typeName() != "string"]
+    return (read.select(SEQ, F.explode(F.array_compact(F.array(*bad))).alias("b"))
+            .select(f"{SEQ}.file", f"{SEQ}.start", f"{SEQ}.pos", "b.column_name", "b.text"))
+
+
+def reject_counts(found: DataFrame) -> DataFrame:
+    """Rejected values of each column."""
+    return found.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rejected"), F.countDistinct("file").alias("n_files"))
 
 
 # A5
