@@ -2,6 +2,8 @@
 pages with DuckDB's own regex functions; the league-page jobs compute what
 the parsers must give back straight from the fixture rows."""
 
+import html.entities
+
 from pitchstar.plans import extraction as X
 
 from .models import with_models
@@ -12,12 +14,23 @@ START = X.ARTICLE_START
 WS = "[" + "".join(c for c in map(chr, range(0x110000)) if c.isspace()) + "]"
 
 
+def _q(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+# the named references of HTML 4 (the standard library's copy) and &apos;
+_NAMES = {**{n: chr(c) for n, c in html.entities.name2codepoint.items()}, "apos": "'"}
+NAMES = "MAP([" + ", ".join(map(_q, _NAMES)) + "], [" + ", ".join(map(_q, _NAMES.values())) + "])"
+
+
 def decoded(x: str) -> str:
-    """Character references as a browser shows them, the ampersand last."""
-    for name, char in (("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-                       ("&apos;", "''"), ("&#39;", "''"), ("&#x27;", "''"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&#38;", "&"), ("&amp;", "&")):
-        x = f"replace({x}, '{name}', '{char}')"
-    return x
+    """Character references as a browser shows them, each decoded once."""
+    ref = "regexp_extract(p, '^(#?[0-9A-Za-z]{1,31});', 1)"
+    code = (f"CASE WHEN regexp_full_match({ref}, '#[0-9]{{1,7}}') THEN TRY_CAST(substr({ref}, 2) AS INTEGER) "
+            f"WHEN regexp_full_match({ref}, '#[xX][0-9A-Fa-f]{{1,6}}') THEN TRY_CAST('0x' || substr({ref}, 3) AS INTEGER) END")
+    shown = f"CASE WHEN {ref} LIKE '#%' THEN chr({code}) ELSE {NAMES}[{ref}] END"
+    return (f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p "
+            f"ELSE coalesce({shown} || regexp_replace(p, '^[^;]*;', ''), '&' || p) END), '')")
 
 
 def strip(x: str) -> str:
@@ -69,20 +82,24 @@ def page_rows() -> str:
     return with_models(ROWS)
 
 
+# a match's page comes where its number does
+PAGE_SEQ = "CAST(split_part(match_url, '/', 3) AS BIGINT)"
+
+
 def _rows_cte(body: str) -> str:
     return with_models("").rstrip() + f"\n, parsed AS ({ROWS})\n" + body
 
 
 def page_dedupe() -> str:
-    return _rows_cte("""SELECT * FROM parsed QUALIFY row_number() OVER (
-  PARTITION BY season, match_date, home_team, away_team ORDER BY match_url) = 1""")
+    return _rows_cte(f"""SELECT * FROM parsed QUALIFY row_number() OVER (
+  PARTITION BY season, match_date, home_team, away_team ORDER BY {PAGE_SEQ}) = 1""")
 
 
 def page_cap() -> str:
     return _rows_cte(f""", dedup AS (SELECT * FROM parsed QUALIFY row_number() OVER (
-  PARTITION BY season, match_date, home_team, away_team ORDER BY match_url) = 1)
+  PARTITION BY season, match_date, home_team, away_team ORDER BY {PAGE_SEQ}) = 1)
 SELECT * FROM dedup QUALIFY row_number() OVER (
-  PARTITION BY competition ORDER BY match_date, match_url) <= {X.CAP_PER_COMPETITION}""")
+  PARTITION BY competition ORDER BY match_date, {PAGE_SEQ}) <= {X.CAP_PER_COMPETITION}""")
 
 
 def page_total_cap() -> str:
@@ -126,8 +143,8 @@ def page_first_match() -> str:
 
 
 def page_missing() -> str:
-    return ("SELECT page_id, (contains(html, 'Page Not Found') OR contains(html, '404')) AS not_found "
-            "FROM pages")
+    return "WITH " + ELEMENTS + """SELECT page_id, (contains(html, 'Page Not Found') OR contains(html, '404'))
+  AND page_id NOT IN (SELECT page_id FROM elements WHERE pos >= 2) AS not_found FROM pages"""
 
 
 def page_days() -> str:

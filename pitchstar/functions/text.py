@@ -4,6 +4,7 @@ functions, so they stay inside whole-stage codegen."""
 from __future__ import annotations
 
 import unicodedata
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,18 +52,40 @@ def strip_spaces(c) -> Column:
     return F.regexp_replace(_col(c), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
 
 
-# The named and numbered character references that pages use;
-# the ampersand comes last, so that what it reveals is not decoded again.
-ENTITIES = [("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-            ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&rsquo;", "’"), ("&#8217;", "’"), ("&#38;", "&"), ("&amp;", "&")]
+def bind(c, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(_col(c)), f), 1)
+
+
+# The standard table of named character references, from Python's own copy;
+# ``apos`` came to it later.
+ENTITIES = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'"}
+
+
+def _reference(ref: Column) -> Column:
+    """What a reference (between & and ;) stands for, or NULL."""
+    code = (F.when(ref.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substring(ref, 3, 6), 16, 10))
+            .when(ref.rlike("^#[0-9]{1,7}$"), F.substring(ref, 2, 7))).try_cast("bigint")
+    named = F.map_from_arrays(F.array(*[F.lit(n) for n in ENTITIES]), F.array(*[F.lit(c) for c in ENTITIES.values()]))
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return F.when(ref.startswith("#"), number).otherwise(F.try_element_at(named, ref))
 
 
 def unescape(c) -> Column:
-    """Text as a browser shows it: character references decoded."""
-    out = _col(c)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Text as a browser shows it: character references decoded, once, by
+    number or by name; what is no reference stays. Text without an ampersand,
+    nearly all of it, is not looked at."""
+    def piece(p: Column) -> Column:
+        return bind(_reference(F.regexp_extract(p, "^(#?[0-9A-Za-z]{1,31});", 1)),
+                    lambda r: F.when(r.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(r, F.regexp_replace(p, "^[^;]*;", ""))))
+
+    def decoded(x: Column) -> Column:
+        parts = F.split(x, "&")
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), piece)
+        return F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
+
+    return bind(c, lambda x: F.when(F.instr(x, "&") > 0, decoded(x)).otherwise(x))
 
 
 def unify_name(c) -> Column:

@@ -52,20 +52,33 @@ def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ribbon_title(x):
     """Ribbon text: the title link, else the title itself."""
-    return P.first_match(x, [
-        f'(?s){P.has_class(P.RIBBON_TITLE)}[^>]*>\\s*<a[^>]*>([^<]*)<',
-        f'{P.has_class(P.RIBBON_TITLE)}[^>]*>([^<]*)<'])
+    def text(title):
+        link = P.strip_tags(P.element_of(F.regexp_extract(title, "(?s)(<a[\\s>].*)", 1)))
+        return F.coalesce(F.nullif(link, F.lit("")), F.nullif(P.strip_tags(title), F.lit("")))
 
+    return P.bind(P.first_element(P.element_of(x), P.RIBBON_TITLE), text)
 
-def parse_listing(pages: DataFrame) -> DataFrame:
+
+def listing_scope(pages: DataFrame, cls: str) -> DataFrame:
+    """Pages cut down to the list that holds their ribbons and cards."""
+    rest = [c for c in pages.columns if c != "html"]
+    return P.once(pages.select(*rest, F.col("html").alias("_page")), "html", P.scope("_page", cls)).drop("_page")
+
+
+#: Place of a row in the collection (G2): its page's, then its card's.
+PLACE = ["page_seq", "pos"]
+
+
+def parse_listing(pages: DataFrame, place: bool = False) -> DataFrame:
     """Fixtures pages (page_id, season, competition_group, match_day, html)
-    -> raw match fields."""
-    cards = P.page_sections(pages, P.class_start(P.RIBBON, P.MATCH_CARD), P.class_kind(P.RIBBON, P.MATCH_CARD), P.RIBBON,
-                            ribbon_title, keep=["page_id", "season", "competition_group", "match_day"])
+    -> raw match fields. ``place`` keeps ``page_seq``, the page's place in the
+    collection, and ``pos``, the card's place on the page."""
+    cards = P.page_sections(listing_scope(pages, P.FIXTURES_LIST), P.class_start(P.RIBBON, P.MATCH_CARD), P.class_kind(P.RIBBON, P.MATCH_CARD), P.RIBBON,
+                            ribbon_title, keep=["page_id", "season", "competition_group", "match_day"] + ["page_seq"] * place)
     rows = P.parse_match_cards(cards)
     return rows.select("season", "phase", "competition_group", "competition",
                        F.col("match_day").alias("match_date"), "match_time", "home_team",
-                       "away_team", "home_score", "away_score", "venue", "match_url")
+                       "away_team", "home_score", "away_score", "venue", "match_url", *(PLACE if place else []))
 
 
 def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +89,8 @@ def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_standings_pages(pages: DataFrame) -> DataFrame:
     tables = P.page_sections(
-        pages, P.class_start(P.RIBBON, P.TABLE_CONTAINER), P.class_kind(P.RIBBON, P.TABLE_CONTAINER), P.RIBBON,
-        lambda x: F.regexp_extract(x, f'{P.has_class(P.RIBBON_TITLE)}[^>]*>([^<]*)<', 1),
+        listing_scope(pages, P.TABLE_LIST), P.class_start(P.RIBBON, P.TABLE_CONTAINER), P.class_kind(P.RIBBON, P.TABLE_CONTAINER), P.RIBBON,
+        lambda x: P.inner_text(P.element_of(x), P.RIBBON_TITLE),
         normalise=False, keep_empty=True, keep=["page_id", "season", "competition_group"])
     rows = P.parse_standings_rows(tables)
     return rows.select("season", "phase", "competition_group", "competition", "position", "team",
@@ -103,16 +116,21 @@ def parse_match_pages(pages: DataFrame) -> DataFrame:
 
 
 def dedupe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First card per (season, date, home, away) in page order."""
-    return P.dedupe_first(parsed_matches(spark, sf_dir),
-                          ["season", "match_date", "home_team", "away_team"], ["match_url"])
+    """First card per (season, date, home, away) in the order of the
+    collection."""
+    return _deduped(spark, sf_dir).drop(*PLACE)
+
+
+def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parse_listing(listing_pages(raw_matches(spark, sf_dir)), place=True)
+    return P.dedupe_first(rows, ["season", "match_date", "home_team", "away_team"], PLACE)
 
 
 def capped_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most CAP_PER_COMPETITION matches per competition, counting
     only cards kept by the in-run dedupe (B8), in processing order."""
-    return P.limit_per_group(dedupe_matches(spark, sf_dir), "competition", CAP_PER_COMPETITION,
-                             ["match_date", "match_url"])
+    return P.limit_per_group(_deduped(spark, sf_dir), "competition", CAP_PER_COMPETITION,
+                             ["match_date", *PLACE]).drop(*PLACE)
 
 
 def total_capped_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +144,11 @@ def page_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B12 on the driver pages."""
-    return P.flag_missing(_pages(spark, sf_dir)).select("page_id", "not_found")
+    """B12 on the driver pages; a page with two or more sections gave rows, so it
+    exists whatever its source says."""
+    pages = _pages(spark, sf_dir)
+    rows = P.page_elements(pages, ARTICLE_START, KIND_RE, keep=["page_id"]).filter("pos >= 2")
+    return P.flag_missing(pages, rows).select("page_id", "not_found")
 
 
 def match_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,10 +47,17 @@ def listing_pages(matches: DataFrame) -> DataFrame:
         _tag("div", P.AWAY_BADGE, label("away_team")),
         F.coalesce(venue, F.lit("")),
         F.concat(F.lit('<a class="c-fixture__link" href="'), _s("match_url"), F.lit('">Details</a>')))))
-    html = F.concat(F.lit("<html><body>"), picker, F.lit(f'<div class="{P.FIXTURES_LIST}">'),
-                    ribbon, card, F.lit("</div></body></html>"))
+    # what a parser must not take: a card beside the list, a comment that looks
+    # like one, a link and a time in the footer
+    beside = F.lit(f'<aside><div class="{P.MATCH_CARD}"><div class="{P.HOME_BADGE}"><b class="{P.TEAM_LABEL}">Advert A</b></div>'
+                   f'<div class="{P.AWAY_BADGE}"><b class="{P.TEAM_LABEL}">Advert B</b></div><a href="/fixtures/advert">Go</a></div></aside>')
+    footer = F.lit('<footer><a href="/fixtures/all">All fixtures</a><time datetime="1970-01-01T00:00:00">Built</time></footer>')
+    html = F.concat(F.lit(f"<html><body><!-- <div class='{P.FIXTURES_LIST}'> -->"), picker, F.lit(f"<div id=l class = '{P.FIXTURES_LIST}'><div>"),
+                    ribbon, card, F.lit("</div></div>"), beside, footer, F.lit("</body></html>"))
+    # pages are collected in the order of their match's number
+    seq = F.substring_index("match_url", "/", -1).cast("bigint")
     return matches.select(F.col("match_url").alias("page_id"), "season", "competition_group",
-                          F.col("match_date").alias("match_day"), html.alias("html"))
+                          F.col("match_date").alias("match_day"), html.alias("html"), seq.alias("page_seq"))
 
 
 def standings_pages(standings: DataFrame) -> DataFrame:
@@ -63,8 +70,9 @@ def standings_pages(standings: DataFrame) -> DataFrame:
     ribbon = _tag("div", P.RIBBON, _tag("h3", P.RIBBON_TITLE, F.concat(F.lit(" "), _s("competition"), F.lit(" "))))
     table = _tag("div", P.TABLE_CONTAINER, F.concat(F.lit('<table class="c-table--standings">'), head,
                                                     F.lit("<tbody>"), row, F.lit("</tbody></table>")))
-    html = F.concat(F.lit('<html><body><div class="js-competition-table">'), ribbon, table,
-                    F.lit("</div></body></html>"))
+    beside = F.lit(f'<aside><div class="{P.TABLE_CONTAINER}"><table><tbody><tr><td>1</td><td>Advert</td></tr></tbody></table></div></aside>')
+    html = F.concat(F.lit(f"<html><body><div class={P.TABLE_LIST}>"), ribbon, table,
+                    F.lit("</div>"), beside, F.lit("</body></html>"))
     pid = F.concat_ws("|", _s("season"), _s("competition"), _s("team"))
     return standings.select(pid.alias("page_id"), "season", "competition_group", html.alias("html"))
 
@@ -108,7 +116,10 @@ def event_pages(events: DataFrame) -> DataFrame:
     empty = F.lit("")
     home_board = _tag("div", P.BOARD_HOME, F.when(home_side, item).otherwise(empty))
     away_board = _tag("div", P.BOARD_AWAY, F.when(home_side, empty).otherwise(item))
-    html = F.concat(F.lit("<html><body>"), header, home_board, away_board, F.lit("</body></html>"))
+    # an item after both boards belongs to nobody; boards come in either order
+    after = F.lit(f'<section><div class="{P.BOARD_ITEM}"><svg><use href="/assets/icons.svg#field-goal"></use></svg>Advert</div></section>')
+    boards = F.when(F.col("minute") % 3 == 0, F.concat(away_board, home_board)).otherwise(F.concat(home_board, away_board))
+    html = F.concat(F.lit("<html><body>"), header, boards, after, F.lit("</body></html>"))
     pid = F.concat_ws("|", _s("match_url"), _s("event_type"), _s("event_subtype"), _s("team"),
                       _s("player_name"), _s("minute"))
     return events.select(pid.alias("page_id"), "season", "match_url", html.alias("html"))
