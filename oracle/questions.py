@@ -256,3 +256,8 @@ def ask_top_members():
   SELECT player_name FROM g GROUP BY 1 ORDER BY sum(goals) DESC, player_name NULLS FIRST LIMIT 5
 )
 SELECT * FROM g WHERE player_name IN (SELECT player_name FROM best)""")
+
+
+def capped_matches(n: int) -> str:
+    return with_models(f"""SELECT match_id, match_date, home_team_name, away_team_name FROM fct_matches
+ORDER BY match_date DESC, match_id LIMIT {n}""")

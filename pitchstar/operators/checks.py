@@ -207,7 +207,7 @@ def _unique_counts(star, tests) -> DataFrame:
     return dup.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures"))
 
 
-def _relationship_counts(star, tests) -> DataFrame:
+def relationship_counts(star, tests) -> DataFrame:
     """All relationships tests in one join on (parent, parent column, value).
     Child rows are counted per distinct non-NULL value first, so only values
     and counts are shuffled, however often a value occurs; an outer join with
@@ -223,7 +223,7 @@ def _relationship_counts(star, tests) -> DataFrame:
         for p, k in sorted({(a[0], a[1]) for _, _, a in tests})]).distinct()
     seen = parents.withColumn("_found", F.lit(True))
     orphan = child.join(seen, ["_parent", "value"], "left").filter(F.col("_found").isNull())
-    return orphan.groupBy("model", "column_name").agg(F.sum("_n").alias("failures"))
+    return orphan.groupBy("model", "column_name").agg(F.sum("_n").alias("failures"), F.min("value").alias("sample_value"))
 
 
 # Q7
@@ -259,7 +259,7 @@ def run_checks(star, as_of=None) -> DataFrame:
     uq = [(m, c) for m, c, t, _, _ in MODEL_TESTS if t == "unique"]
     parts.append(per_test("unique", _unique_counts(star, uq)))
     rel = [(m, c, a) for m, c, t, a, _ in MODEL_TESTS if t == "relationships"]
-    parts.append(per_test("relationships", _relationship_counts(star, rel)))
+    parts.append(per_test("relationships", relationship_counts(star, rel)))
     for model, col, test, arg, sev in MODEL_TESTS:
         if test == "accepted_values":
             # failures = number of distinct unexpected values, like the test's row count

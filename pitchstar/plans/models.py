@@ -15,6 +15,7 @@ from ..functions.keys import surrogate_key
 from ..functions.text import date_of, match_status
 from ..operators.lookup import lookup_fk, lookup_roles
 from ..operators.numbering import number_rows
+from ..sources.raw import scratch_root
 
 # --------------------------------------------------------------- staging
 
@@ -153,25 +154,38 @@ def fct_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
         F.col("competition").alias("competition_name"), "venue", "match_status")
 
 
+def _with_scores(int_m: DataFrame) -> DataFrame:
+    """Matches left-joined to their own scores by match_id (see D11)."""
+    ids = int_m.groupBy("match_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("match_id").alias("_rid"))
+    path = f"{scratch_root(int_m.sparkSession)}/repeated"
+    ids.write.parquet(path)
+    ids = int_m.sparkSession.read.schema("_rid string").parquet(path)  # its size is known to the planner
+    if ids.isEmpty():
+        ws = int_m
+    else:
+        once, more = (int_m.join(ids, int_m.match_id == ids["_rid"], how) for how in ("left_anti", "left_semi"))
+        scores = more.select(F.col("match_id").alias("_sid"), "home_score", "away_score")
+        bare = more.drop("home_score", "away_score")
+        again = bare.join(scores, bare.match_id == scores._sid, "left").drop("_sid")
+        ws = once.unionByName(again.select(*once.columns))
+    # a row without an id meets no scores in that join
+    for c in ("home_score", "away_score"):
+        ws = ws.withColumn(c, F.when(F.col("match_id").isNotNull(), F.col(c)))
+    return ws
+
+
 def fct_team_matches(int_m: DataFrame, seasons: DataFrame, phases: DataFrame,
-                     teams: DataFrame,
-                     fan_out: bool = True) -> DataFrame:
+                     teams: DataFrame, fan_out: bool = True) -> DataFrame:
     """Team perspective with scores and five keys.
 
-    ``fan_out=True`` (the model's semantics): scores come from a left join
-    on match_id, so a repeated match_id fans out exactly as the model's join
-    does (k rows -> k*k per side). Repeated ids only occur in data that
-    fails the error-severity unique test on match_id, which blocks
-    publication; the join reads match_id and the two scores only and AQE
-    splits a hot id. ``fan_out=False`` carries each row's own scores through
-    the explode (one scan, no join): identical whenever match_id is unique.
+    The model joins scores on match_id, so an id that occurs k times fans out
+    (k rows -> k*k per side). Ids are counted first, on the key column alone, and
+    those that repeat are written out: a row whose id is unique carries its own
+    scores through the explode, and only rows of repeated ids are joined. Clean
+    data has none (the unique test on match_id blocks publication), so no row
+    meets an exchange for its scores. ``fan_out=False`` takes every id as unique.
     """
-    if fan_out:
-        scores = int_m.select(F.col("match_id").alias("_sid"), "home_score", "away_score")
-        base = int_m.drop("home_score", "away_score")
-        ws = base.join(scores, base.match_id == scores._sid, "left").drop("_sid")
-    else:
-        ws = int_m
+    ws = _with_scores(int_m) if fan_out else int_m
     tm = _perspectives(ws, _TEAM_CTX, carry=["home_score", "away_score"])
     tm = tm.withColumn("team_match_id", surrogate_key("match_id", "team"))
     f = lookup_fk(tm, seasons, "season", "season_name", "season_id", small=True)
@@ -192,11 +206,15 @@ def fct_match_events(stg_e: DataFrame, stg_m: DataFrame, players: DataFrame,
     """Events -> match (by URL), player and team ids.
 
     The match side grows with the data, so that join is a shuffle join on the
-    URL (AQE may still broadcast it when the measured side is small).
+    URL (AQE may still broadcast it when the measured side is small, and splits
+    the events of a hot or empty URL). Events without a URL have no match: each
+    gets a key of its own that no match has, so they spread over all tasks
+    instead of meeting in one under the null key.
     """
     m = stg_m.select(F.col("match_url").alias("_url"), "match_id", "competition_group",
                      F.col("competition").alias("competition_name"))
-    e = stg_e.join(m, stg_e.match_url == m._url, "left")
+    e = stg_e.withColumn("_key", F.coalesce("match_url", F.concat(F.lit("\u0000"), "event_id")))
+    e = e.join(m, e["_key"] == m["_url"], "left").drop("_key")
     e = lookup_fk(e, players, "player_name", "player_name", "player_id")
     e = lookup_fk(e, teams, "team", "team_name", "team_id")
     return e.select("event_id", "match_id", "player_id", "team_id",

@@ -38,11 +38,15 @@ def unique_report(star) -> DataFrame:
 
 
 def relationships_report(star) -> DataFrame:
-    parts = [C.relationships(star[m], c, star[a[0]], a[1]).agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"),
-                     F.lit(a[0]).alias("to_model"), "failures")
-             for m, c, _, a, _ in _tests("relationships")]
-    return reduce(DataFrame.unionByName, parts)
+    """Every relationships test with its failing rows and the smallest value
+    that has no parent: one join for all tests, over values and counts."""
+    tests = [(m, c, a) for m, c, _, a, _ in _tests("relationships")]
+    spark = star[tests[0][0]].sparkSession
+    named = spark.createDataFrame([(m, c, a[0]) for m, c, a in tests], "model string, column_name string, to_model string")
+    found = C.relationship_counts(star, tests)
+    # one row for each declared test
+    return (F.broadcast(named).join(found, ["model", "column_name"], "left")
+            .select("model", "column_name", "to_model", F.coalesce("failures", F.lit(0)).alias("failures"), "sample_value"))
 
 
 def accepted_values_report(star) -> DataFrame:
@@ -67,3 +71,8 @@ def summary(star, as_of=None) -> DataFrame:
 
 def gate_decision(star, as_of=None) -> DataFrame:
     return C.gate(C.run_checks(star, as_of))
+
+
+def unexpected_values(star, model: str, col: str, values: list[str]) -> DataFrame:
+    """Q4 with a list of one's own."""
+    return C.accepted_values(star[model], col, values)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import gender_of, share, tier_of, total_goals
-from ..operators.topn import top_members, top_rows
+from ..operators.topn import cap_rows, top_members, top_rows
 from .models import Star
 
 
@@ -245,3 +245,9 @@ def team_journey(star: Star, team: str) -> DataFrame:
            .when(F.col("goals_for") == F.col("goals_against"), F.lit("D"))
            .when(F.col("goals_for") < F.col("goals_against"), F.lit("L")))
     return t.withColumn("result", res)
+
+
+def capped_matches(star, n: int) -> DataFrame:
+    """H3: the latest matches, at most ``n`` rows."""
+    m = star["fct_matches"].select("match_id", "match_date", "home_team_name", "away_team_name")
+    return cap_rows(m, n, [F.desc("match_date"), F.col("match_id")])

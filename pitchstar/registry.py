@@ -79,6 +79,9 @@ def spark_queries() -> dict:
         "dq_tbc_teams": _question(Q.tbc_teams),
         "dq_summary": _question(Q.summary, p["as_of"]),
         "gate_decision": _question(Q.gate_decision, p["as_of"]),
+        "gate_clean": LD.gate_clean,
+        "dq_unexpected_values": _question(Q.unexpected_values, "fct_match_events", "event_subtype", ["FG", "Green"]),
+        "capped_rows": _question(K.capped_matches, 50),
         "upsert_matches": A.upserted_matches,
         "upsert_counts": A.matches_upsert_counts,
         "high_water_mark": A.high_water_mark,
@@ -168,6 +171,9 @@ def oracle_queries() -> dict:
         "dq_tbc_teams": OD.tbc_sql(),
         "dq_summary": OD.summary_sql(p["as_of"]),
         "gate_decision": OD.gate_sql(p["as_of"]),
+        "gate_clean": OL.gate_clean(),
+        "dq_unexpected_values": OD.unexpected_sql("fct_match_events", "event_subtype", ["FG", "Green"]),
+        "capped_rows": OQ.capped_matches(50),
         "upsert_matches": OI.upsert_matches(),
         "upsert_counts": OI.upsert_counts(),
         "high_water_mark": OI.high_water_mark(),
