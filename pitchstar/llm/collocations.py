@@ -14,15 +14,23 @@ can stand in a candidate) get ids by frequency, so that small ids are frequent.
 Each slice of texts becomes a stream of ids. The pairs of neighbours in a stream
 are split into tiles of ``TILE`` x ``TILE`` ids: a tile with many pairs is counted by
 one dense bincount, its cell being the pair's address; the pairs of thin tiles by
-sorting coordinates. Spark adds up the cells of all slices. Frequent pairs are
-ranked by frequency again and their ids form the next stream, in which neighbours
-overlap by all but one word: a pair of m-word phrases is one of m + 1 words. So the
-same step, repeated, counts phrases of any length, and a phrase that is not frequent
-is never extended. f of all first and last parts is handed on from level to level.
-
-Counts join on words or ids and are added before every shuffle, so a frequent word
-or pair is one row for each slice. Ids come from a range-partitioned numbering;
-dictionaries are joined, not collected.
+sorting coordinates. Spark adds up the cells of all slices. The pairs that may be
+frequent are ranked by frequency again and their ranks form the next stream, in which
+neighbours overlap by all but one word: a pair of m-word phrases is one of m + 1
+words. So the same step, repeated, counts phrases of any length.
+
+Which pairs may be frequent is told before any cell is sent: every task adds its
+cells up in hashed buckets, and a pair whose bucket stays below ``least`` in the whole
+corpus is neither sent nor ranked. Ranks are a slice's own and cells carry the ids of
+all their words, so a slice never asks back for the ids of its pairs. Buckets decide
+about work only; what a bucket lets through is counted exactly. There are four buckets
+for every ``least`` words of the corpus, 2 ** ``BITS`` at most, which bounds the filter
+that tasks get (8 MB); a larger corpus sends more cells. f of all first and last parts is joined
+from level to level among frequent phrases.
+
+Counts are added before every shuffle, so a frequent word or pair is one row for each
+task. Ids of words come from a range-partitioned numbering; dictionaries are joined,
+not collected.
 
 Defined cases: null language: ``und``; null text: empty; an empty table gives an
 empty result; repeated rows count each; scores are exact (decimals of 38 digits, so
@@ -40,7 +48,7 @@ from pyspark.sql import functions as F
 
 from pitchstar.operators.numbering import number_rows
 
-from .common import cut, drop, slices, table, text_buffers
+from .common import cut, drop, mix, slices, table, text_buffers
 from .wordcodes import LOOK, SLICE, code_words, pack, spans, unpack, words_of, written
 
 TILE = 256
@@ -48,6 +56,10 @@ TILE = 256
 DENSE = TILE * TILE // 4
 #: Text held over all languages while slices fill.
 HELD = 4 * SLICE
+#: The largest filter has 2 ** BITS buckets, sent in blocks of BLOCK.
+BITS, BLOCK = 26, 1 << 16
+#: Parts in which a block is added up first.
+PARTS = 256
 
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -161,46 +173,131 @@ def tight(stream: np.ndarray) -> np.ndarray:
     return out[keep | gap]
 
 
-def _pairs(batches):
+def cells(stream: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(x, y, n) of the pairs of a stream and the word ids of each; ``words[i - 1]``
+    are those of id i."""
+    x, y, n = count_pairs(stream)
+    return x, y, n, np.concatenate([words[x - 1], words[y - 1][:, -1:]], axis=1)
+
+
+def buckets(ids: np.ndarray, bits: int) -> np.ndarray:
+    h = np.zeros(len(ids), np.uint64)
+    for column in ids.T:
+        h = mix(h + column.astype(np.uint64))
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _rows(batches, size: int):
+    """(slice, stream, words) of the rows of a level of ``size``-word phrases."""
     for batch in batches:
-        for number, stream in zip(batch.column("slice").to_pylist(), batch.column("stream")):
-            x, y, n = count_pairs(unpack(stream.as_buffer()))
-            for at in range(0, len(x), 1 << 18):
+        for number, stream, words in zip(batch.column("slice").to_pylist(), batch.column("stream"), batch.column("words")):
+            yield number, unpack(stream.as_buffer()), unpack(words.as_buffer()).reshape(-1, size)
+
+
+def tally(size: int, bits: int, least: int):
+    """Cells of a task added up in buckets; counts stop at ``least``."""
+    def run(batches):
+        total = np.zeros(1 << bits, np.min_scalar_type(least))
+        for _, stream, words in _rows(batches, size):
+            _, _, n, ids = cells(stream, words)
+            at = buckets(ids, bits)
+            order = np.argsort(at)
+            at, n = at[order], n[order]
+            if len(at):
+                new = np.flatnonzero(np.diff(at, prepend=-1))
+                total[at[new]] = np.minimum(total[at[new]] + np.add.reduceat(n, new), least)
+        wide = min(BLOCK, 1 << bits)
+        part = TaskContext.get().partitionId() % PARTS
+        for block, counts in enumerate(total.reshape(-1, wide)):
+            if counts.any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "counts": [pack(counts)]})
+    return run
+
+
+def added(least: int, last: bool):
+    """One block of all tasks; at last one bit for each bucket that reaches ``least``."""
+    def run(rows: pa.Table) -> pa.Table:
+        kind = np.min_scalar_type(least)
+        total = 0
+        for counts in rows.column("counts"):
+            total = np.minimum(total + unpack(counts.as_buffer(), kind).astype(np.int64), least)
+        made = np.packbits(total >= least, bitorder="little") if last else total.astype(kind)
+        return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "counts": [pack(made)]})
+    return run
+
+
+def passing(level: DataFrame, size: int, bits: int, least: int) -> np.ndarray:
+    """Buckets, as bits, that hold ``least`` pairs of the level; 2 ** bits / 8 bytes."""
+    kind = "block int, part int, counts binary"
+    sums = (level.mapInArrow(tally(size, bits, least), kind).groupBy("block", "part").applyInArrow(added(least, False), kind)
+            .groupBy("block").applyInArrow(added(least, True), kind))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    wide = min(BLOCK, 1 << bits) // 8
+    for block, _, got in sums.collect():
+        out[block * wide:(block + 1) * wide] = np.frombuffer(got, np.uint8)
+    return out
+
+
+def _passed(ids: np.ndarray, bits: int, seen: np.ndarray) -> np.ndarray:
+    at = buckets(ids, bits)
+    return (seen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def counter(size: int, bits: int, seen: np.ndarray):
+    """Cells of a slice that pass: the ids of size + 1 words, and n."""
+    def run(batches):
+        for _, stream, words in _rows(batches, size):
+            _, _, n, ids = cells(stream, words)
+            keep = _passed(ids, bits, seen)
+            n, ids = n[keep], ids[keep]
+            for at in range(0, len(n), 1 << 18):
                 part = slice(at, at + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x[part]), number)), pa.array(x[part]), pa.array(y[part]), pa.array(n[part])],
-                                                 ["slice", "x", "y", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*np.ascontiguousarray(ids[part].T), n[part])],
+                                                 [f"w{i}" for i in range(1, size + 2)] + ["n"])
+    return run
+
 
+def advance(size: int, bits: int, seen: np.ndarray):
+    """The next level: ranks of the pairs that pass, and their words."""
+    def run(batches):
+        for number, stream, words in _rows(batches, size):
+            x, y, n, ids = cells(stream, words)
+            keep = np.flatnonzero(_passed(ids, bits, seen))
+            keep = keep[np.argsort(-n[keep], kind="stable")]
+            if len(keep):
+                yield from _streams(number, ranked(stream, x[keep], y[keep]), ids[keep]).to_batches()
+    return run
 
-_STREAM = pa.schema([("slice", pa.int64()), ("stream", pa.binary())])
 
+_STREAM = pa.schema([("slice", pa.int64()), ("stream", pa.binary()), ("words", pa.binary())])
 
-def _streams(number: int, stream: np.ndarray) -> pa.Table:
+
+def _streams(number: int, stream: np.ndarray, words: np.ndarray) -> pa.Table:
     stream = tight(stream)
-    return pa.table({"slice": [number], "stream": [pack(stream)]} if len(stream) else {"slice": [], "stream": []}, schema=_STREAM)
+    return pa.table({"slice": [number], "stream": [pack(stream)], "words": [pack(words)]} if len(stream) else {"slice": [], "stream": [], "words": []}, schema=_STREAM)
 
 
 def _first_stream(text: pa.Table, words: pa.Table) -> pa.Table:
+    """The stream of a slice: its frequent words ranked, 1 being the most frequent."""
     if not text.num_rows or not words.num_rows:
         return _STREAM.empty_table()
     codes = unpack(text.column("stream")[0].as_buffer(), np.int32)
-    ids = np.zeros(int(codes.max()) + 2, np.int64)  # the last stands for -1
-    ids[words.column("code").to_numpy()] = words.column("id").to_numpy()
-    return _streams(text.column("slice")[0].as_py(), ids[codes])
+    ids, of = words.column("id").to_numpy(), words.column("code").to_numpy()
+    order = np.argsort(ids)
+    ranks = np.zeros(max(int(codes.max()), int(of.max())) + 2, np.int64)  # the last stands for -1
+    ranks[of[order]] = np.arange(1, len(ids) + 1)
+    return _streams(text.column("slice")[0].as_py(), ranks[codes], ids[order].reshape(-1, 1))
 
 
-def _next_stream(text: pa.Table, pairs: pa.Table) -> pa.Table:
-    """The id of the pair that starts at each place, or 0."""
-    if not text.num_rows or not pairs.num_rows:
-        return _STREAM.empty_table()
-    stream = unpack(text.column("stream")[0].as_buffer())
+def ranked(stream: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The rank, from 1, of the pair that starts at each place, or 0."""
     ids, place = np.unique(stream, return_inverse=True)
-    x, y, new = (pairs.column(c).to_numpy() for c in ("x", "y", "id"))
     known = np.searchsorted(ids, x) * len(ids) + np.searchsorted(ids, y)
     order = np.argsort(known)
-    known, new = known[order], new[order]
+    known = known[order]
     key = place[:-1] * len(ids) + place[1:]
     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-    return _streams(text.column("slice")[0].as_py(), np.where(known[at] == key, new[at], 0))
+    return np.where(known[at] == key, order[at] + 1, 0)
 
 
 # --------------------------------------------------------------- operator
@@ -214,31 +311,36 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, within: in
     words = coded.where("kind = 'word'").select("slice", "lang", "code", "word", "n")
     sizes = cut(words.groupBy("lang").agg(F.sum("n").alias("n")))
     counts = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    levels = [cut(number_rows(counts, [F.desc("f"), "lang", "word"], "id")
-                  .select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("first"), F.array("f").alias("last")))]
-    known = words.join(levels[0].select("id", "lang", F.col("words")[0].alias("word")), ["lang", "word"]).select(F.col("slice").alias("of"), "code", "id")
+    levels = [cut(number_rows(counts, [F.desc("f"), "lang", "word"], "w1")
+                  .select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("first"), F.array("f").alias("last")))]
+    known = words.join(levels[0].select(F.col("w1").alias("id"), "lang", F.col("words")[0].alias("word")), ["lang", "word"]).select(F.col("slice").alias("of"), "code", "id")
+    kind = "slice long, stream binary, words binary"
     stream = cut(coded.where("kind = 'text'").select("slice", "stream").groupBy("slice").cogroup(known.groupBy("of"))
-                 .applyInArrow(_first_stream, "slice long, stream binary"), paths)
+                 .applyInArrow(_first_stream, kind), paths)
+    every_word = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(max(16, int(4 * every_word // least).bit_length()), BITS)
     for size in range(2, longest + 1):
-        pairs = stream.mapInArrow(_pairs, "slice long, x long, y long, n long")
-        counts = pairs.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        seen = passing(stream, size - 1, bits, least)
+        key = [f"w{i}" for i in range(1, size + 1)]
+        counts = (stream.mapInArrow(counter(size - 1, bits, seen), ", ".join(f"{c} long" for c in key) + ", n long")
+                  .groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least))
         part = levels[-1]
-        head = part.select(F.col("id").alias("x"), "lang", F.col("words").alias("head"), "first")
-        tail = part.select(F.col("id").alias("y"), F.element_at("words", -1).alias("end"), "last")
-        named = counts.join(head, "x").join(tail, "y").select(
-            "x", "y", "lang", F.concat("head", F.array("end")).alias("words"), "f",
-            F.concat("first", F.array("f")).alias("first"), F.concat("last", F.array("f")).alias("last"))
-        levels.append(cut(number_rows(named, [F.desc("f"), "x", "y"], "id")))
+        head = part.select(*key[:-1], "lang", F.col("words").alias("head"), "first")
+        tail = part.select(*[F.col(a).alias(b) for a, b in zip(key[:-1], key[1:])], F.element_at("words", -1).alias("end"), "last")
+        levels.append(cut(counts.join(head, key[:-1]).join(tail, key[1:]).select(
+            *key, "lang", F.concat("head", F.array("end")).alias("words"), "f",
+            F.concat("first", F.array("f")).alias("first"), F.concat("last", F.array("f")).alias("last"))))
         if size < longest:
-            frequent = pairs.select(F.col("slice").alias("of"), "x", "y").join(levels[-1].select("x", "y", "id"), ["x", "y"])
-            stream = cut(stream.groupBy("slice").cogroup(frequent.groupBy("of")).applyInArrow(_next_stream, "slice long, stream binary"), paths)
+            stream = cut(stream.mapInArrow(advance(size - 1, bits, seen), kind), paths)
     drop(spark, paths)
 
     scored = []
     for size, level in enumerate(levels[1:], 2):
         if size < longest:  # a longer candidate reaches as far as one a word longer that it holds
-            longer = levels[size].select(F.explode(F.array("x", "y")).alias("id"), F.col("f").alias("most")).groupBy("id").agg(F.max("most").alias("most"))
-            level = level.join(longer, "id", "left").where(~F.coalesce(100 * F.col("most") >= within * F.col("f"), F.lit(False)))
+            key = [f"w{i}" for i in range(1, size + 2)]
+            ends = [levels[size].select(*[F.col(c).alias(k) for c, k in zip(part, key)], F.col("f").alias("most")) for part in (key[:-1], key[1:])]
+            longer = ends[0].union(ends[1]).groupBy(*key[:-1]).agg(F.max("most").alias("most"))
+            level = level.join(longer, key[:-1], "left").where(~F.coalesce(100 * F.col("most") >= within * F.col("f"), F.lit(False)))
         cuts = F.array(*[F.struct(F.lit(k).alias("k"), F.col("first")[k - 1].alias("l"), F.col("last")[size - k - 1].alias("r")) for k in range(1, size)])
         rows = level.select("lang", F.array_join("words", " ").alias("phrase"), F.col("f").alias("a"), F.explode(cuts).alias("c")).select("lang", "phrase", "a", "c.*")
         rows = (rows.join(sizes, "lang")

@@ -85,3 +85,18 @@ def test_tiles_count_every_pair(monkeypatch):
         assert dict(zip(zip(x.tolist(), y.tolist()), n.tolist())) == want
     assert [len(v) for v in C.count_pairs(np.zeros(0, np.int64))] == [0, 0, 0]
     assert C.tight(np.array([5, 0, 1, 2, 0, 0, 3, 4, 9, 0, 8])).tolist() == [1, 2, 0, 3, 4, 9, 0]
+
+
+def test_a_filter_that_lets_rare_pairs_through(spark, monkeypatch):
+    monkeypatch.setattr(C, "BITS", 4), monkeypatch.setattr(C, "PARTS", 2)
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, lang, "w", 1, 2) for i, (t, lang) in enumerate(rows)], SCHEMA).repartition(5)
+    assert sorted(map(tuple, C.collocations(df, least=6).collect())) == sorted(plain(rows, 6))
+
+
+def test_ranks_follow_the_pairs():
+    stream = np.array([3, 1, 2, 0, 1, 2, 1, 2, 0, 3, 1])
+    assert C.ranked(stream, np.array([1, 3]), np.array([2, 1])).tolist() == [2, 1, 0, 0, 1, 0, 1, 0, 0, 2]
+    ids = np.array([[5, 7], [7, 5], [5, 7]])
+    at = C.buckets(ids, 20)
+    assert at[0] == at[2] != at[1] and 0 <= at.min() <= at.max() < 1 << 20
