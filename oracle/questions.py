@@ -185,17 +185,63 @@ LEFT JOIN dim_players p ON per.player_id = p.player_id
 """)
 
 
+def tier_case(name: str, season: str, levels) -> str:
+    """Tier by the first level word of a name that is valid in the season."""
+    def valid(since, until):
+        return "".join([f" AND {season} >= {q(since)}" if since else "", f" AND {season} <= {q(until)}" if until else ""])
+    return "CASE " + " ".join(
+        f"WHEN list_contains(regexp_split_to_array({name}, '\\s+'), {q(w)}){valid(since, until)} THEN {t}"
+        for w, t, since, until in sorted(levels, key=lambda x: x[1])) + " END"
+
+
+LEVELS = [("Premier", 1, None, None), ("Division", 2, None, None), ("Conference", 3, None, None)]
+GENDER = "CASE WHEN {0} LIKE '%Mens%' OR {0} LIKE '%Open%' THEN 'Mens' ELSE 'Womens' END"
+
+
 def tier_shortlist(gender, tiers, season, n=10):
-    gexpr = ("CASE WHEN e.competition_group LIKE '%Mens%' OR e.competition_group LIKE '%Open%' "
-             "THEN 'Mens' ELSE 'Womens' END")
-    texpr = ("CASE WHEN e.competition_name LIKE '%Premier%' THEN 1 "
-             "WHEN e.competition_name LIKE '%Division%' THEN 2 "
-             "WHEN e.competition_name LIKE '%Conference%' THEN 3 END")
     where = (events_where([season], None, "goal")
-             + f" AND {gexpr} = {q(gender)} AND {texpr} IN ({', '.join(str(t) for t in tiers)})")
+             + f" AND {GENDER.format('e.competition_group')} = {q(gender)}"
+             + f" AND {tier_case('e.competition_name', q(season), LEVELS)} IN ({', '.join(str(t) for t in tiers)})")
     return _wm(_scorers_body(where, n))
 
 
+def competitions(levels) -> str:
+    return f"""SELECT s.season_name, competition_group, competition_name, {GENDER.format('competition_group')} AS gender,
+  CAST({tier_case('competition_name', 's.season_name', levels)} AS INTEGER) AS tier,
+  min(d) AS first_match, max(d) AS last_match, CAST(sum(m) AS BIGINT) AS n_matches, CAST(sum(t) AS BIGINT) AS n_standings
+FROM (SELECT season_id, competition_group, competition_name, match_date AS d, 1 AS m, 0 AS t FROM fct_matches
+      UNION ALL SELECT season_id, competition_group, competition_name, NULL, 0, 1 FROM fct_standings) x
+LEFT JOIN dim_seasons s USING (season_id) GROUP BY 1, 2, 3"""
+
+
+def competition_catalogue():
+    return with_models(f"""
+SELECT *, CASE tier WHEN 1 THEN 'Premier' WHEN 2 THEN 'Division' WHEN 3 THEN 'Conference' END AS level,
+  CASE WHEN strpos(competition_name, ' Phase 2') > 0 THEN left(competition_name, strpos(competition_name, ' Phase 2') - 1)
+       ELSE competition_name END AS division
+FROM ({competitions(LEVELS)}) c""")
+
+
+def unknown_competitions(levels):
+    return with_models(f"""
+SELECT season_name, competition_group, competition_name, n_matches,
+  CASE WHEN tier IS NULL THEN 'no level of this season in the name' ELSE 'the name and its group differ in gender' END AS reason
+FROM ({competitions(levels)}) c
+WHERE tier IS NULL OR (competition_name LIKE '%Womens%' AND gender = 'Mens') OR (competition_name LIKE '%Mens%' AND gender = 'Womens')""")
+
+
+def season_coverage(seasons):
+    asked = ", ".join(f"({q(s)})" for s in seasons)
+    return with_models(f"""
+SELECT a.season_name, s.season_id IS NOT NULL AS held, count(m.match_id) AS n_matches,
+  count(m.match_id) FILTER (m.match_status = 'Completed') AS n_completed,
+  CASE WHEN s.season_id IS NULL THEN 'only seasons ' || (SELECT min(season_name) FROM dim_seasons) || ' to '
+            || (SELECT max(season_name) FROM dim_seasons) || ' are held'
+       WHEN count(m.match_id) = 0 THEN 'the season holds tables and no matches' END AS reason
+FROM (VALUES {asked}) a(season_name) LEFT JOIN dim_seasons s USING (season_name)
+LEFT JOIN fct_matches m ON m.season_id = s.season_id GROUP BY a.season_name, s.season_id""")
+
+
 def team_journey(team):
     return with_models(f"""
 SELECT match_id, match_date, competition_name, is_home,

@@ -7,7 +7,8 @@ keys are unique by construction; a fact that serves as parent (event ->
 match) is reduced to one row per key, so a hop can never fan rows out.
 ``role.field`` reads the dimension through a role-playing key, as in
 ``home_team.team_name`` (its output column is ``home_team_team_name``).
-A field that no relationship reaches raises ValueError.
+A field that no relationship reaches raises ValueError, and so do seasons of
+which none is held.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.topn import top_members, top_rows
+from .catalogue import refuse_seasons
 
 # The relationships of the star (child, fk, parent, pk).
 RELATIONSHIPS = [
@@ -125,6 +127,8 @@ def ask(star, base: str, measures: dict, dims: list[str], filters: dict | None =
     groups (ties broken by the dimension values), (n, measure alias, fields)
     all groups of the n members with the greatest totals."""
     filters = filters or {}
+    if not isinstance(filters.get("season_name", ()), tuple):
+        refuse_seasons(star, filters["season_name"])
     df = star[base]
     # filters on the base table first, so they reach the scan
     for f, v in filters.items():

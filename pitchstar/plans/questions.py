@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import gender_of, share, tier_of, total_goals
+from ..functions.text import share, total_goals
+from .catalogue import competitions_of
 from ..operators.topn import cap_rows, top_members, top_rows
 from .models import Star
 
@@ -225,9 +226,10 @@ def goal_share(star: Star, season: str) -> DataFrame:
 
 # K17
 def tier_shortlist(star: Star, gender: str, tiers, season: str, n: int = 10) -> DataFrame:
-    g = events_in(star, season, None, "goal").filter(
-        (gender_of(F.col("competition_group")) == gender)
-        & tier_of(F.col("competition_name")).isin(list(tiers)))
+    """Scorers of the competitions that the catalogue places in ``tiers``."""
+    held = competitions_of(star, gender, tiers, season)
+    g = events_in(star, season, None, "goal")
+    g = g.join(held, (g.competition_name == held.held_name) & g.competition_group.eqNullSafe(held.held_group), "left_semi")
     return _scorers(g, star, n)
 
 

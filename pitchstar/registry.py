@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import models as M
 from .plans import incremental as A
 from .plans import ask as AK
+from .plans import catalogue as CT
 from .plans import expressions as XP
 from .plans import extraction as X
 from .plans import loading as LD
@@ -30,6 +31,9 @@ PARAMS = {
     "tiers": [1, 2],
     "top_n": 10,
     "as_of": "1998-06-01",
+    # a level that ends with a season: its later competitions are unknown
+    "ending_levels": [("Premier", 1, None, "1996-1997"), ("Division", 2, "1993-1994", None)],
+    "asked_seasons": ["1980-1981", "1997-1998", "2020-2021"],
 }
 
 
@@ -71,6 +75,9 @@ def spark_queries() -> dict:
         "goal_share": _question(K.goal_share, p["season"]),
         "tier_shortlist": _question(K.tier_shortlist, p["gender"], p["tiers"], p["season"], p["top_n"]),
         "team_journey": _question(K.team_journey, p["team"]),
+        "competition_catalogue": _question(CT.catalogue),
+        "unknown_competitions": _question(CT.unknown_competitions, p["ending_levels"]),
+        "season_coverage": _question(CT.season_coverage, p["asked_seasons"]),
         "dq_not_null": _question(Q.not_null_report),
         "dq_unique": _question(Q.unique_report),
         "dq_relationships": _question(Q.relationships_report),
@@ -163,6 +170,9 @@ def oracle_queries() -> dict:
         "goal_share": OQ.goal_share(p["season"]),
         "tier_shortlist": OQ.tier_shortlist(p["gender"], p["tiers"], p["season"], p["top_n"]),
         "team_journey": OQ.team_journey(p["team"]),
+        "competition_catalogue": OQ.competition_catalogue(),
+        "unknown_competitions": OQ.unknown_competitions(p["ending_levels"]),
+        "season_coverage": OQ.season_coverage(p["asked_seasons"]),
         "dq_not_null": OD.not_null_sql(),
         "dq_unique": OD.unique_sql(),
         "dq_relationships": OD.relationships_sql(),
