@@ -20,10 +20,13 @@ Method. Every document gets ``COORDINATES`` MinHash values, posted as tokens
    component after as many comparisons as it has members.
 4. Second pass: posting lists that still span several components hold what is
    left; pairs inside a component cannot change the result and are skipped, no
-   others are. Lists of up to ``SMALL`` documents give pairs. Longer ones are
-   cut into blocks; the documents of smaller components visit the blocks, and
-   what comes out is one row for a document and a component in which some
-   member reaches the match threshold, not one for each such member.
+   others are. Lists of up to ``SMALL`` documents give pairs, at most
+   (``SMALL`` - 1) / 2 for each posting. Longer ones are cut into blocks; the
+   documents of smaller components visit the blocks, and what comes out is one row
+   for a document and a component in which some member reaches the match threshold,
+   not one for each such member. There ``EXTRA`` more coordinates of one byte count too:
+   a group whose members resemble each other too little to link meets in its lists
+   all the same, and half of ``COORDINATES`` does not tell such pairs from links.
 5. Links are confirmed on the full sets: pairs one by one, a document against a
    component of several by visiting blocks of its members until the first link.
    Components follow.
@@ -47,9 +50,10 @@ from pyspark.sql import functions as F
 from .common import BASE, NULL_ID, Words, components, cut, drop, ids_of, mix, prefix_hash, release, slices, span_hash, table, text_buffers
 
 COORDINATES, MATCHES = 32, 16
-SMALL, BLOCK = 32, 512
-_A = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1000)) | np.uint64(1)
-_B = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(2000))
+EXTRA = 96
+SMALL, BLOCK = 4, 512
+_A = mix(np.arange(COORDINATES + EXTRA, dtype=np.uint64) + np.uint64(1000)) | np.uint64(1)
+_B = mix(np.arange(COORDINATES + EXTRA, dtype=np.uint64) + np.uint64(2000))
 _COORDINATE = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(3000))
 
 
@@ -70,7 +74,7 @@ def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray
     return h, np.searchsorted(doc, np.arange(len(column) + 1))
 
 
-SIGNED = "id long, n long, digest binary, tokens array<long>"
+SIGNED = "id long, n long, digest binary, tokens array<long>, extra binary"
 
 
 def signer(shingle: int):
@@ -89,10 +93,17 @@ def _sign(part: pa.RecordBatch, shingle: int) -> pa.RecordBatch:
     for k in range(COORDINATES if len(full) else 0):
         least = np.minimum.reduceat(h * _A[k] + _B[k], at[full])
         tokens[:, k] = mix(least ^ _COORDINATE[k])
+    extra = np.zeros((len(full), EXTRA), np.uint8)
+    for k in range(EXTRA if len(full) else 0):
+        least = np.minimum.reduceat(h * _A[COORDINATES + k] + _B[COORDINATES + k], at[full])
+        extra[:, k] = (mix(least) >> np.uint64(56)).astype(np.uint8)
+    extras = np.full(len(n), None, object)
+    extras[full] = [e.tobytes() for e in extra]
     digests = [hashlib.blake2b(h[at[r]:at[r + 1]].tobytes(), digest_size=16).digest() if n[r] else None for r in range(len(n))]
     offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, COORDINATES, 0)))).astype(np.int32)
     return pa.RecordBatch.from_arrays([pa.array(ids_of(part.column("id"))), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.ravel().view(np.int64)))], ["id", "n", "digest", "tokens"])
+                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.ravel().view(np.int64))), pa.array(extras, pa.binary())],
+                                      ["id", "n", "digest", "tokens", "extra"])
 
 
 def confirmer(shingle: int, percent: int):
@@ -109,15 +120,23 @@ def confirmer(shingle: int, percent: int):
     return confirm
 
 
+def sure(percent: int) -> int:
+    """Of all coordinates, so many agree but for a chance of about 1 in 10,000."""
+    n, p = COORDINATES + EXTRA, percent / 100
+    return max(MATCHES, int(n * p - 3.72 * (n * p * (1 - p)) ** 0.5))
+
+
 def meeter(percent: int):
     """Documents that reach the match threshold with a member of a larger component."""
+    enough = sure(percent)
     def meet(guests: pa.Table, hosts: pa.Table) -> pa.Table:
         out: set[tuple[int, int, int]] = set()
         hosts = hosts.rename_columns([c.removeprefix("h_") for c in hosts.schema.names])
         if guests.num_rows and hosts.num_rows:
             g, h = ({c: t.column(c).to_numpy() for c in ("rep", "n", "component", "size")} for t in (guests, hosts))
             sg, sh = (np.asarray(t.column("sign").combine_chunks().flatten()).reshape(-1, COORDINATES) for t in (guests, hosts))
-            pg, ph = (np.asarray(t.column("posted").combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(-1, COORDINATES) for t in (guests, hosts))
+            pg, ph = ((t.column("posted").to_numpy()[:, None] >> np.arange(COORDINATES) & 1).astype(bool) for t in (guests, hosts))
+            eg, eh = (np.frombuffer(b"".join(t.column("extra").to_pylist()), np.uint8).reshape(-1, EXTRA) for t in (guests, hosts))
             mark = guests.column("mark")[0].as_py()
             for i in range(guests.num_rows):
                 ok = (h["size"] > g["size"][i]) | ((h["size"] == g["size"][i]) & (h["component"] > g["component"][i]))
@@ -125,7 +144,10 @@ def meeter(percent: int):
                 at = np.flatnonzero(ok)
                 same = sh[at] == sg[i]
                 here = (same & ph[at] & pg[i]).argmax(axis=1) == (sg[i] == mark).argmax()
-                at = at[(same.sum(axis=1) >= MATCHES) & here]
+                equal = same.sum(axis=1)
+                near = (equal >= MATCHES) & here
+                at, equal = at[near], equal[near]
+                at = at[equal + (eh[at] == eg[i]).sum(axis=1) >= enough]
                 out.update((int(g["rep"][i]), int(h["component"][j]), int(h["size"][j])) for j in at)
         x, c, n = zip(*out) if out else ((), (), ())
         return pa.table({"x": pa.array(x, pa.int64()), "component": pa.array(c, pa.int64()), "size": pa.array(n, pa.int64())})
@@ -162,19 +184,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Return (id, n_shingles, component) for every row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
+    old: list = []
     signed = cut(docs.mapInArrow(signer(shingle), SIGNED))
     classes = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
 
     # a set of fewer than `least` shingles has no partner but its equals
     least = next(n for n in range(1, 101) if 100 * n >= percent * (n + 1))
     members = signed.where(F.col("n") >= least)
-    reps = members.join(classes, "digest").where("id = rep").select("rep", "n", "tokens", "digest").dropDuplicates(["rep", "digest"])
+    reps = members.join(classes, "digest").where("id = rep").select("rep", "n", "tokens", "extra", "digest").dropDuplicates(["rep", "digest"])
     posted = reps.select("rep", "n", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("many")).where("many > 1")
     rare = (posted.join(shared, "token").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("many", "token"))).alias("l"))
             .where(F.size("l") >= MATCHES)
             .select("rep", "n", F.explode(F.slice("l", F.lit(1), F.size("l") - (MATCHES - 1))).alias("p")))
-    posts = cut(rare.select("rep", "n", F.col("p.token").alias("token")))
+    posts = cut(rare.select("rep", "n", F.col("p.token").alias("token")), old)
     release(spark)
     wanted = posts.select(F.col("rep").alias("id")).distinct()
     texts = cut(docs.join(wanted, "id", "left_semi"))
@@ -201,8 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = placed.groupBy("component").agg(F.countDistinct("rep").alias("size"))
     open_lists = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).where("lo < hi").select("token", "many")
     left = cut(placed.join(open_lists, "token").join(sizes, "component").select("token", "many", "rep", "n", "component", "size"))
+    drop(spark, old)
     release(spark)
-    signs = reps.select("rep", F.transform("tokens", lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias("sign"))
+    signs = reps.select("rep", F.transform("tokens", lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias("sign"), "extra")
 
     def pairs_of(lists: DataFrame) -> DataFrame:
         other = lists.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
@@ -214,16 +238,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     long_lists = left.where(F.col("many") > SMALL).withColumn("mark", F.xxhash64("token").bitwiseAND(0x7FFFFFFF).cast("int"))
     marks = long_lists.groupBy("rep").agg(F.collect_set("mark").alias("marks")).join(signs, "rep")
-    marks = marks.select("rep", "sign", F.transform("sign", lambda x: F.array_contains("marks", x)).alias("posted"))
-    long_lists = cut(long_lists.join(marks.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r"))
+    bits = "aggregate(transform(sign, (x, i) -> if(array_contains(marks, x), shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)"
+    marks = marks.select("rep", "sign", "extra", F.expr(bits).alias("posted"))
+    long_lists = cut(long_lists.join(marks.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")).drop("r"), old)
     there = long_lists.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     top = long_lists.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top")).select(F.col("token").alias("t"), F.col("top.component").alias("top"))
     visiting = (long_lists.join(top, (F.col("token") == F.col("t")) & (F.col("component") != F.col("top"))).drop("t", "top")
                 .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    kept = ["token", "block", "rep", "n", "component", "size", "sign", "posted", "mark"]
+    kept = ["token", "block", "rep", "n", "component", "size", "sign", "extra", "posted", "mark"]
     there = there.select(*[F.col(c).alias(f"h_{c}") for c in kept])
     meets = cut(visiting.select(*kept).groupBy("token", "block").cogroup(there.groupBy("h_token", "h_block"))
                 .applyInArrow(meeter(percent), "x long, component long, size long").distinct())
+    drop(spark, old)
+    release(spark)
     member = left.select(F.col("rep").alias("y"), F.col("component").alias("c")).distinct()
     few = meets.where("size = 1").join(member, F.col("component") == F.col("c")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = pairs_of(left.where(F.col("many") <= SMALL)).union(few).distinct()
