@@ -18,9 +18,10 @@ their keys; Spark splits a hot host when it joins.
 Defined cases: a text without letters (also null or empty) has no language of
 its own and is "und", whatever its address says; a null or unknown declared
 language, suffix or host is a value of its own; with nothing to fit, all
-languages are alike and "und" wins by ``UND_BONUS`` trigrams; rows that repeat
+languages are alike and every row is "und"; rows that repeat
 count each; an empty table gives no rows; other columns are ignored by
-``identify`` and kept by ``keep_identified``.
+``identify`` and kept by ``keep_identified``, whatever their names. The declared
+language of a page is that of the first html tag that has one, wherever it stands.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from .common import _LOWER, MARKS, cut, slices, table, text_buffers
 LANGUAGES = ("de", "en", "es", "fr")
 UND = "und"
 BUCKETS = 8192
-#: A flat model must explain a text better than any language to make it "und".
-UND_BONUS = 0.0
+#: Decides ties between the flat model and a language.
+UND_BONUS = 1e-6
 #: Neighbouring trigrams are not independent: their logarithms count this much.
 TEMPER = 0.25
 SMOOTH = {"host": 5.0, "domain": 20.0}
@@ -96,7 +97,7 @@ def scorer(model: np.ndarray, markup: bool):
             for part in slices(b):
                 bucket, row = trigrams(part.column("text"), markup)
                 n = np.bincount(row, minlength=part.num_rows)
-                ll = np.stack([np.bincount(row, model[k][bucket], minlength=part.num_rows) for k in range(len(model))], axis=1)
+                ll = np.stack([np.bincount(row, model[k][bucket], minlength=part.num_rows) for k in range(len(model))], axis=1).astype(float)  # no trigram: integers
                 ll[:, -1] += UND_BONUS
                 best = np.where(n > 0, ll.argmax(axis=1), len(model) - 1)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * len(model), pa.int32()), pa.array((ll * TEMPER).ravel()))
@@ -110,6 +111,8 @@ def identify(rows: DataFrame, languages: tuple = LANGUAGES, markup: bool = True)
     declared, suffix, domain and host."""
     rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("declared", "suffix", "domain", "host")})
     model = fit_text(rows, languages, markup)
+    if (model == model[-1]).all():
+        return rows.select("key", F.lit(UND).alias("language"), F.lit(1.0).alias("probability"), F.lit(UND).alias("text_language"))
     names = (*languages, UND)
     k = len(names)
     key_type = rows.schema["key"].dataType.simpleString()
@@ -165,22 +168,21 @@ def pages_evidence(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     suffix, domain = host_parts(host)
     return pages.select(F.col("page_id").alias("key"), F.col("html").alias("text"),
-                        code(F.regexp_extract(F.substring_index(F.coalesce("html", F.lit("")), ">", 12), "(?i)<html[^>]*\\slang\\s*=\\s*[\"']?([A-Za-z_-]+)", 1)).alias("declared"),
+                        code(F.regexp_extract(F.coalesce("html", F.lit("")), "(?i)<html[^>]*\\slang\\s*=\\s*[\"']?([A-Za-z_-]+)", 1)).alias("declared"),
                         suffix.alias("suffix"), domain.alias("domain"), host.alias("host"))
 
 
 def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", languages: tuple = LANGUAGES) -> DataFrame:
     """Rows of a documents table whose language is known, with that language in
     ``lang_col``. The declared language and the source are the evidence beside the text."""
-    every = F.xxhash64(*[F.col(c) for c in docs.columns])
-    again = F.xxhash64(F.lit(1), *[F.col(c) for c in reversed(docs.columns)])
-    key = F.concat_ws(":", every.cast("string"), again.cast("string"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.concat_ws(":", F.xxhash64(*own).cast("string"), F.xxhash64(F.lit(1), *reversed(own)).cast("string"))
     source = F.coalesce(F.col(source_col), F.lit(""))
     named = identify(docs.select(key.alias("key"), F.col(text_col).alias("text"), code(F.coalesce(F.col(lang_col), F.lit(""))).alias("declared"),
                                  F.lit("").alias("suffix"), source.alias("domain"), source.alias("host")), languages, markup=False)
-    known = named.where(F.col("language") != UND).dropDuplicates(["key"]).select(F.col("key").alias("lid_key"), F.col("language").alias("lid_language"))
-    rows = docs.withColumn("lid_own", key).join(known, F.col("lid_own") == F.col("lid_key"))
-    return rows.select(*[F.col("lid_language").alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns])
+    known = named.where(F.col("language") != UND).dropDuplicates(["key"]).select("key", "language")
+    rows = docs.select(key.alias("key"), F.struct(*own).alias("row")).join(known, "key")
+    return rows.select(*[F.col("language").alias(c) if c == lang_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
