@@ -193,7 +193,7 @@ def total_bytes(df: DataFrame, column: str = "text") -> int:
 
 # --------------------------------------------------------------- components
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component) of undirected links (a, b); component is the smallest id
     that can be reached. Large-star and small-star steps alternate, each a
     group-by with map-side minimum, until no link changes; paths shrink by
@@ -203,7 +203,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     old: list = []
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), old)
     seen = None
-    for _ in range(rounds):
+    while True:
         # large star: neighbours above u go to the smallest neighbour of u (or u)
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
