@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import pages as P
 from ..sources.fixtures import raw_match_events, raw_matches, raw_standings
 from ..sources.league_pages import event_pages, listing_pages, standings_pages
+from ..sources.raw import scratch_root
 from ..sources.tables import read_table
 
 # Fixed values of the registered runs.
@@ -20,6 +21,13 @@ DEFAULT_DAY = "1999-01-01"
 HEADING_PATTERNS = ["<h2[^>]*>([^<]*)<", "<h1[^>]*>([^<]*)<", "<title>([^<]*)<"]
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt evenly over all tasks before pages are rendered and parsed from
+    them: a small table sits in one file split or a few, while a page costs far
+    more than its row."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _pages(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "pages", "page_id", "html")
 
@@ -47,7 +55,7 @@ def article_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B2 + B3 (+ B11, C1, C2, C5) over the rendered fixtures pages."""
-    return parse_listing(listing_pages(raw_matches(spark, sf_dir)))
+    return parse_listing(listing_pages(spread(raw_matches(spark, sf_dir))))
 
 
 def ribbon_title(x):
@@ -84,7 +92,7 @@ def parse_listing(pages: DataFrame, place: bool = False) -> DataFrame:
 def parsed_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 + B2 + B4 over the rendered standings pages (titles are only
     trimmed, as the standings collector does)."""
-    return parse_standings_pages(standings_pages(raw_standings(spark, sf_dir)))
+    return parse_standings_pages(standings_pages(spread(raw_standings(spark, sf_dir))))
 
 
 def parse_standings_pages(pages: DataFrame) -> DataFrame:
@@ -100,13 +108,13 @@ def parse_standings_pages(pages: DataFrame) -> DataFrame:
 
 def parsed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B6 (+ C9) over the rendered match pages."""
-    h = P.parse_header(event_pages(raw_match_events(spark, sf_dir)))
+    h = P.parse_header(event_pages(spread(raw_match_events(spark, sf_dir))))
     return h.select("page_id", "home_team", "away_team", "home_logo", "away_logo", "match_date")
 
 
 def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B5 (+ C6, C7, C8) over the rendered match pages."""
-    return parse_match_pages(event_pages(raw_match_events(spark, sf_dir)))
+    return parse_match_pages(event_pages(spread(raw_match_events(spark, sf_dir))))
 
 
 def parse_match_pages(pages: DataFrame) -> DataFrame:
@@ -122,7 +130,7 @@ def dedupe_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse_listing(listing_pages(raw_matches(spark, sf_dir)), place=True)
+    rows = parse_listing(listing_pages(spread(raw_matches(spark, sf_dir))), place=True)
     return P.dedupe_first(rows, ["season", "match_date", "home_team", "away_team"], PLACE)
 
 
@@ -134,8 +142,11 @@ def capped_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def total_capped_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole match days until TOTAL_CAP rows are stored."""
-    return P.limit_total(parsed_matches(spark, sf_dir), TOTAL_CAP, "match_date")
+    """Whole match days until TOTAL_CAP rows are stored. Every page is
+    parsed once: the rows are written, then counted and chosen by day."""
+    rows, path = parsed_matches(spark, sf_dir), f"{scratch_root(spark)}/parsed"
+    rows.write.parquet(path)
+    return P.limit_total(spark.read.schema(rows.schema).parquet(path), TOTAL_CAP, "match_date")
 
 
 def page_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +165,6 @@ def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B7 over rendered fixtures pages and the driver pages (which have no
     date picker, so they get the default day)."""
-    listing = listing_pages(raw_matches(spark, sf_dir)).select("page_id", "html")
+    listing = listing_pages(spread(raw_matches(spark, sf_dir))).select("page_id", "html")
     driver = _pages(spark, sf_dir).select(F.col("page_id").cast("string").alias("page_id"), "html")
     return P.page_days(listing.unionByName(driver), DEFAULT_DAY)
