@@ -53,6 +53,11 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def line_of(id_col: str, text_col: str, seed: int) -> Column:
+    """Place of a document in the permutation of its source."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 1)
+
+
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, repeat: int = 3) -> DataFrame:
     """(source, source_size, target) of a table with source and size."""
     sizes = cut(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
@@ -110,7 +115,7 @@ def walk(units: DataFrame, state: DataFrame) -> DataFrame:
 def draws(docs: DataFrame, seed: int = 1, weights: tuple = WEIGHTS, repeat: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, line, source, size, source_size, target, copies): how often each
     document is drawn. ``line`` is its place in the permutation of its source."""
-    line = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 1)
+    line = line_of(id_col, text_col, seed)
     sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), line.alias("line")))
     t = targets(sized, weights, repeat)
     per = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -167,10 +172,12 @@ def quotas(blocks: DataFrame, shards: int, seed: int = 1) -> DataFrame:
     return cut_up.withColumn("past", F.sum("n").over(w)).select("source", "shard", (F.col("past") - F.col("n")).alias("first"), "past").where("past > first")
 
 
-def mix(docs: DataFrame, shards: int | None = None, seed: int = 1, weights: tuple = WEIGHTS, repeat: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 1, weights: tuple = WEIGHTS, repeat: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", drawn: DataFrame | None = None) -> DataFrame:
     """The mixed rows: every drawn copy of a document with ``copy`` and
-    ``shard``, each shard in one partition and in the order of its hash."""
-    drawn = cut(draws(docs, seed, weights, repeat, id_col, text_col, source_col))
+    ``shard``, each shard in one partition and in the order of its hash.
+    ``drawn``: the ``draws`` of these documents, if the caller has them."""
+    if drawn is None:
+        drawn = cut(draws(docs, seed, weights, repeat, id_col, text_col, source_col))
     total = drawn.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0))).first()[0]
     bits = min(max(int(total // BLOCK_WORDS).bit_length(), 0), 20)
     shards = shards or max(1, min(int(total // (BLOCK_WORDS * 64)) + 1, 4096))
@@ -189,14 +196,22 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 1, weights: tupl
     p = placed.select(F.col("source").alias("s"), F.col("block").alias("b"), F.col("copy").alias("c"), "shard")
     lines = (copies.distinct().join(p, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")) & (F.col("copy") == F.col("c")))
              .select(F.col("id").alias("mix_id"), F.col("line").alias("mix_line"), F.col("source").alias("mix_source"), F.col("copy"), "shard"))
-    line = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 1)
+    line = line_of(id_col, text_col, seed)
     rows = docs.withColumn("mix_at", line).join(lines, (F.col("mix_at") == F.col("mix_line")) & F.col(id_col).eqNullSafe(F.col("mix_id")) & F.col(source_col).eqNullSafe(F.col("mix_source")))
     rows = rows.where(words(F.col(text_col)) > 0)
     return (rows.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64(F.lit(seed + 1), "mix_at", "copy"), "copy")
             .select(*docs.columns, "copy", "shard"))
 
 
-def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    d = draws(table(spark, sf_dir, "documents"))
-    return d.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+def op4_source_mix(spark: SparkSession, sf_dir: str, seed: int = 1) -> DataFrame:
+    """Words that the mix takes of every document: its copies are counted in the
+    shards that the splitting tree dealt them to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d = cut(draws(docs, seed))
+    mixed = mix(docs.withColumn("line", line_of("doc_id", "text", seed)), seed=seed, drawn=d)
+    # rows alike in id, text and source are drawn alike: each holds every copy
+    held = mixed.groupBy(F.col("doc_id").alias("h_id"), F.col("line").alias("h_line"), F.col("source").alias("h_source")).agg(
+        F.countDistinct("copy").alias("held"), F.min("shard").alias("first_shard"))
+    out = d.join(held, F.col("id").eqNullSafe(F.col("h_id")) & (F.col("line") == F.col("h_line")) & F.col("source").eqNullSafe(F.col("h_source")), "left")
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                      (F.col("size") * F.coalesce("held", F.lit(0))).alias("taken"), "first_shard")

@@ -45,3 +45,22 @@ def test_values_of_a_lookup_are_computed_once(spark):
     # one look at the icon, and one pass that trims the date's text
     assert event_type_of("icon")._jc.toString().count("substring_index") == 1
     assert page_date("day")._jc.toString().count("regexp_replace") == 1
+
+
+def test_source_mix_query_takes_what_the_shards_hold(spark, tmp_path, monkeypatch):
+    from pitchstar.llm import source_mix
+    rows = [(k, " ".join(["w"] * (k % 9)), "abc"[k % 3]) for k in range(60)] + [(7, "same row", "a")] * 2 + [(None, "no id", None), (61, None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    dealt, real = [], source_mix.quotas
+
+    def quotas(*args, **kw):
+        dealt.append(1)
+        return real(*args, **kw)
+
+    monkeypatch.setattr(source_mix, "quotas", quotas)
+    got = source_mix.op4_source_mix(spark, str(tmp_path)).collect()
+    assert dealt  # the splitting tree was asked
+    want = source_mix.draws(docs).collect()
+    key = lambda x: (x is None, x or 0)
+    assert sorted((key(r.doc_id), r.size, r.taken) for r in got) == sorted((key(r.id), r.size, r.size * r.copies) for r in want)
