@@ -64,3 +64,23 @@ def test_source_mix_query_takes_what_the_shards_hold(spark, tmp_path, monkeypatc
     want = source_mix.draws(docs).collect()
     key = lambda x: (x is None, x or 0)
     assert sorted((key(r.doc_id), r.size, r.taken) for r in got) == sorted((key(r.id), r.size, r.size * r.copies) for r in want)
+
+
+def test_checks_read_stored_raw_tables(spark):
+    from pitchstar import registry
+    seen = []
+    registry._checked(lambda star: seen.append(star))(spark, "/root/testdata/sf0.001")
+    for name in ("standings", "matches", "match_events"):
+        plan = seen[0].raw[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_first_and_last_rows_travel_once(spark):
+    from pitchstar.operators.pages import dedupe_first
+    from pitchstar.operators.upsert import latest_per_key
+    df = spark.createDataFrame([(1, 5, "b", None), (1, 5, "a", 2), (1, None, "z", 3), (None, 1, "n", 1), (None, 1, "n", 1)], "k int, at int, v string, w int")
+    assert sorted(map(str, dedupe_first(df, ["k"], ["at"]).collect())) == sorted(["Row(k=1, at=None, v='z', w=3)", "Row(k=None, at=1, v='n', w=1)"])
+    assert sorted(map(str, latest_per_key(df, ["k"], ["at"]).collect())) == sorted(["Row(k=1, at=5, v='b', w=None)", "Row(k=None, at=1, v='n', w=1)"])
+    for out in (dedupe_first(df, ["k"], ["at"]), latest_per_key(df, ["k"], ["at"])):
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert "min_by" not in plan and "max_by" not in plan
