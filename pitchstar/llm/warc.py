@@ -5,12 +5,12 @@ records with equal payloads (SHA-1 and length) of at least ``min_bytes`` bytes
 the one with the smallest page id is a response and the others are revisits
 that name it. The records are lines of a Spark text table with CR LF CR LF as
 line end, which is the end of a WARC record, so any file system that Spark
-writes to can hold the archive, and a lost task is simply written again. A file
-holds at most ``RECORDS_PER_FILE`` records.
+writes to can hold the archive, and a lost task is simply written again. Files are
+gzipped, as archives are kept (.gz), and hold at most ``RECORDS_PER_FILE`` records.
 
 Reading. The files are cut at every occurrence of the version line, be it the
-start of a record or part of a payload; splits of one file are read by several
-tasks. A cut whose header can be parsed is a candidate record and points at
+start of a record or part of a payload; a gzipped file is read by one task as a
+stream, splits of a plain one by several. A cut whose header can be parsed is a candidate record and points at
 its successor's offset. Of the candidates only (offset, successor) pairs move:
 for each file, pointer jumping from offset 0 marks those that can be reached
 from the start, and candidates inside payloads drop out. Cuts then join the
@@ -40,7 +40,7 @@ from .common import NULL_ID, cut, release, table
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
-RECORDS_PER_FILE = 20_000
+RECORDS_PER_FILE = 5_000
 
 
 def base32_of_hex(batches):
@@ -73,7 +73,7 @@ def write_archive(rows: DataFrame, path: str) -> None:
         F.when(revisit, F.concat(line("WARC-Refers-To", name("refers_to")), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))).otherwise(""),
         F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\n"),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(END))
-    rows.select(F.concat(head, block).alias("value")).write.option("lineSep", END).option("compression", "none").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    rows.select(F.concat(head, block).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def reachable(rows: pd.DataFrame) -> pd.DataFrame:
