@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from pitchstar.operators.numbering import number_rows
 
-from .common import WORD, cut, table
+from .common import WORD, cut, release, table
 
 BLOCK_WORDS = 1 << 16
 RADIX = 256
@@ -127,6 +127,7 @@ def draws(docs: DataFrame, seed: int = 1, weights: tuple = WEIGHTS, repeat: int
     state, walks = gaps, None
     while state.take(1):  # every walk draws a unit of each of its sources, or is the last
         done = walk(units, state)
+        release(docs.sparkSession)
         walks = done if walks is None else walks.unionByName(done)
         state = done.where((F.col("upto") < LINE_END) & (F.col("gap") >= 1)).select("s", F.col("upto").alias("after"), "gap")
     if walks is None:
