@@ -29,7 +29,9 @@ that tasks get (8 MB); a larger corpus sends more cells. f of all first and last
 from level to level among frequent phrases.
 
 Counts are added before every shuffle, so a frequent word or pair is one row for each
-task. Ids of words come from a range-partitioned numbering; dictionaries are joined,
+task. A cell stands for one or more words of its slice, so no level has more cells than
+the corpus has words. Buckets are moved compressed; a level's files go when the next
+has been written. Ids of words come from a range-partitioned numbering; dictionaries are joined,
 not collected.
 
 Defined cases: null language: ``und``; null text: empty; an empty table gives an
@@ -39,6 +41,8 @@ empty result; repeated rows count each; scores are exact (decimals of 38 digits,
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,7 +52,7 @@ from pyspark.sql import functions as F
 
 from pitchstar.operators.numbering import number_rows
 
-from .common import cut, drop, mix, slices, table, text_buffers
+from .common import cut, drop, mix, release, slices, table, text_buffers
 from .wordcodes import LOOK, SLICE, code_words, pack, spans, unpack, words_of, written
 
 TILE = 256
@@ -210,7 +214,7 @@ def tally(size: int, bits: int, least: int):
         part = TaskContext.get().partitionId() % PARTS
         for block, counts in enumerate(total.reshape(-1, wide)):
             if counts.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "counts": [pack(counts)]})
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "counts": [zlib.compress(pack(counts), 1)]})
     return run
 
 
@@ -220,9 +224,9 @@ def added(least: int, last: bool):
         kind = np.min_scalar_type(least)
         total = 0
         for counts in rows.column("counts"):
-            total = np.minimum(total + unpack(counts.as_buffer(), kind).astype(np.int64), least)
-        made = np.packbits(total >= least, bitorder="little") if last else total.astype(kind)
-        return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "counts": [pack(made)]})
+            total = np.minimum(total + unpack(zlib.decompress(counts.as_buffer()), kind).astype(np.int64), least)
+        made = pack(np.packbits(total >= least, bitorder="little")) if last else zlib.compress(pack(total.astype(kind)), 1)
+        return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "counts": [made]})
     return run
 
 
@@ -315,8 +319,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, within: in
                   .select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("first"), F.array("f").alias("last")))]
     known = words.join(levels[0].select(F.col("w1").alias("id"), "lang", F.col("words")[0].alias("word")), ["lang", "word"]).select(F.col("slice").alias("of"), "code", "id")
     kind = "slice long, stream binary, words binary"
+    release(spark)
+    streams: list = []
     stream = cut(coded.where("kind = 'text'").select("slice", "stream").groupBy("slice").cogroup(known.groupBy("of"))
-                 .applyInArrow(_first_stream, kind), paths)
+                 .applyInArrow(_first_stream, kind), streams)
+    drop(spark, paths)
+    release(spark)
     every_word = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(max(16, int(4 * every_word // least).bit_length()), BITS)
     for size in range(2, longest + 1):
@@ -331,8 +339,13 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, within: in
             *key, "lang", F.concat("head", F.array("end")).alias("words"), "f",
             F.concat("first", F.array("f")).alias("first"), F.concat("last", F.array("f")).alias("last"))))
         if size < longest:
-            stream = cut(stream.mapInArrow(advance(size - 1, bits, seen), kind), paths)
-    drop(spark, paths)
+            new: list = []
+            stream = cut(stream.mapInArrow(advance(size - 1, bits, seen), kind), new)
+            drop(spark, streams)
+            streams = new
+        # files of this level's shuffles go before the next level writes its own
+        release(spark)
+    drop(spark, streams)
 
     scored = []
     for size, level in enumerate(levels[1:], 2):
