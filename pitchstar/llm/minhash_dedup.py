@@ -16,8 +16,9 @@ Method. Every document gets ``COORDINATES`` MinHash values, posted as tokens
    are posted; tokens without a second document never are, and the most
    frequent ones are skipped.
 3. First pass: each document is compared with the one document that is the
-   smallest of most of its posting lists. A group of near copies becomes one
-   component after as many comparisons as it has members.
+   smallest of most of its posting lists, if so many of all coordinates agree that
+   a link misses by a chance of about 1 in 10 ** 9. A group of near copies becomes
+   one component after as many comparisons as it has members.
 4. Second pass: posting lists that still span several components hold what is
    left; pairs inside a component cannot change the result and are skipped, no
    others are. Lists of up to ``SMALL`` documents give pairs, at most
@@ -29,7 +30,8 @@ Method. Every document gets ``COORDINATES`` MinHash values, posted as tokens
    all the same, and half of ``COORDINATES`` does not tell such pairs from links.
 5. Links are confirmed on the full sets: pairs one by one, a document against a
    component of several by visiting blocks of its members until the first link.
-   Components follow.
+   Components follow. Only texts of documents that a pair or a visit names are
+   shuffled: a bounded filter of their ids (``ID_BITS``) is asked where texts are read.
 
 Defined cases: a null text is an empty one; a null id sorts after all others
 and comes back as null; rows that share an id are one document, linked as
@@ -52,6 +54,8 @@ from .common import BASE, NULL_ID, Words, components, cut, drop, ids_of, mix, pr
 COORDINATES, MATCHES = 32, 16
 EXTRA = 96
 SMALL, BLOCK = 4, 512
+#: A filter of ids has 2 ** ID_BITS bits at most, 8 MB.
+ID_BITS = 26
 _A = mix(np.arange(COORDINATES + EXTRA, dtype=np.uint64) + np.uint64(1000)) | np.uint64(1)
 _B = mix(np.arange(COORDINATES + EXTRA, dtype=np.uint64) + np.uint64(2000))
 _COORDINATE = mix(np.arange(COORDINATES, dtype=np.uint64) + np.uint64(3000))
@@ -120,10 +124,51 @@ def confirmer(shingle: int, percent: int):
     return confirm
 
 
-def sure(percent: int) -> int:
+def sure(percent: int, deviations: float = 3.72, least: int = MATCHES) -> int:
     """Of all coordinates, so many agree but for a chance of about 1 in 10,000."""
     n, p = COORDINATES + EXTRA, percent / 100
-    return max(MATCHES, int(n * p - 3.72 * (n * p * (1 - p)) ** 0.5))
+    return max(least, int(n * p - deviations * (n * p * (1 - p)) ** 0.5))
+
+
+def resembler(matches: int, enough: int):
+    """Pairs with ``matches`` tokens in common and ``enough`` of all coordinates."""
+    def resemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sa, sb = (np.asarray(b.column(c).flatten()).reshape(-1, COORDINATES) for c in ("sa", "sb"))
+            ea, eb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, EXTRA) for c in ("ea", "eb"))
+            same = (sa == sb).sum(axis=1)
+            near = (same >= matches) & (same + (ea == eb).sum(axis=1) >= enough)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+    return resemble
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """(bits, filter) of the column ``id``: 2 ** bits bits, about eight for each
+    id, added up by Spark; 2 ** ID_BITS / 8 bytes at most come to the driver."""
+    bits = min(max(10, int(8 * ids.count()).bit_length()), ID_BITS)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _places(ids_of(b.column("id")), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["word", "mask"])
+
+    got = ids.select("id").mapInArrow(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got.column("word").to_numpy()] = got.column("mask").to_numpy()
+    return bits, out
+
+
+def asked(bits: int, seen: np.ndarray):
+    """Rows whose id may be one of the filter's."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _places(ids_of(b.column("id")), bits)
+            yield b.filter(pa.array((seen[at >> 6] >> (at & 63) & 1).astype(bool), pa.bool_()))
+    return ask
 
 
 def meeter(percent: int):
@@ -199,11 +244,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("rep", "n", F.explode(F.slice("l", F.lit(1), F.size("l") - (MATCHES - 1))).alias("p")))
     posts = cut(rare.select("rep", "n", F.col("p.token").alias("token")), old)
     release(spark)
-    wanted = posts.select(F.col("rep").alias("id")).distinct()
-    texts = cut(docs.join(wanted, "id", "left_semi"))
-    release(spark)
+    signs = reps.select("rep", F.transform("tokens", lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias("sign"), "extra")
+
+    def resembling(pairs: DataFrame, matches: int) -> DataFrame:
+        a, b = (signs.select(F.col("rep").alias(c), F.col("sign").alias(f"s{c}"), F.col("extra").alias(f"e{c}")) for c in "ab")
+        return (pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", "ea", "eb")
+                .mapInArrow(resembler(matches, sure(percent, 6, 0)), "a long, b long").distinct())
 
-    def near(pairs: DataFrame) -> DataFrame:
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = cut(ids.distinct(), old)
+        return cut(docs.mapInArrow(asked(*id_filter(wanted)), "id long, text string").join(wanted, "id", "left_semi"), old)
+
+    def near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         return cut(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(confirmer(shingle, percent), "a long, b long"))
@@ -213,8 +265,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = cut(posts.join(pivots, "token").where(F.col("rep") != F.col("pivot")).where(alike)
                 .groupBy("rep", "pivot").agg(F.count("*").alias("votes"))
                 .groupBy("rep").agg(F.max(F.struct("votes", -F.col("pivot"))).alias("best"))
-                .select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b")))
-    links = near(tried)
+                .select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b")), old)
+    release(spark)
+    tried = cut(resembling(tried, 0), old)
+    release(spark)
+    links = near(tried, texts_of(tried.select(F.explode(F.array("a", "b")).alias("id"))))
     joined = cut(components(links))
     release(spark)
 
@@ -226,7 +281,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = cut(placed.join(open_lists, "token").join(sizes, "component").select("token", "many", "rep", "n", "component", "size"))
     drop(spark, old)
     release(spark)
-    signs = reps.select("rep", F.transform("tokens", lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias("sign"), "extra")
 
     def pairs_of(lists: DataFrame) -> DataFrame:
         other = lists.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
@@ -254,12 +308,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = left.select(F.col("rep").alias("y"), F.col("component").alias("c")).distinct()
     few = meets.where("size = 1").join(member, F.col("component") == F.col("c")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = pairs_of(left.where(F.col("many") <= SMALL)).union(few).distinct()
-    counted = (pairs.join(signs.select(F.col("rep").alias("a"), F.col("sign").alias("sa")), "a")
-               .join(signs.select(F.col("rep").alias("b"), F.col("sign").alias("sb")), "b")
-               .where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b").distinct())
-    more = near(cut(counted))
-
+    counted = cut(resembling(pairs, MATCHES), old)
+    release(spark)
     large = meets.where("size > 1")
+    of_large = member.join(large.select(F.col("component").alias("l")).distinct(), F.col("c") == F.col("l")).select(F.col("y").alias("id"))
+    texts = texts_of(counted.select(F.explode(F.array("a", "b")).alias("id")).union(large.select(F.col("x").alias("id"))).union(of_large))
+    more = near(counted, texts)
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     hosts = (member.join(large.select(F.col("component").alias("l"), "size").distinct(), F.col("c") == F.col("l"))
              .join(texts, F.col("id") == F.col("y")).select(F.col("c").alias("h_c"), F.pmod(F.xxhash64("y"), parts).cast("int").alias("h_block"), F.col("id").alias("h_id"), F.col("text").alias("h_text")))
@@ -268,6 +322,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     visits = cut(guests.groupBy("c", "block").cogroup(hosts.groupBy("h_c", "h_block")).applyInArrow(visitor(shingle, percent), "a long, b long"))
     more = more.union(visits)
     found = cut(components(links.union(more)))
+    drop(spark, old)
     release(spark)
     where = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     own = signed.select("id", "n", "digest").join(where, "digest", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
