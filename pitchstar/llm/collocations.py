@@ -28,11 +28,15 @@ for every ``least`` words of the corpus, 2 ** ``BITS`` at most, which bounds the
 that tasks get (8 MB); a larger corpus sends more cells. f of all first and last parts is joined
 from level to level among frequent phrases.
 
-Counts are added before every shuffle, so a frequent word or pair is one row for each
-task. A cell stands for one or more words of its slice, so no level has more cells than
-the corpus has words. Buckets are moved compressed; a level's files go when the next
-has been written. Ids of words come from a range-partitioned numbering; dictionaries are joined,
-not collected.
+Counts are added before every shuffle: a frequent word is one row for each task, a
+frequent pair one cell. The cells of a task, at most those of its last slice and
+``GATHER`` more at a time, are dealt by hash to blocks, about one for each 2 ** ``CELLS`` words
+of the corpus, and one block of a task is a row; a block's rows meet in one task and
+only frequent pairs leave it as rows. A cell stands for one or more words of its
+slice, so no level has more cells than the corpus has words.
+Streams, cells and buckets are moved compressed; a level's files go when the next has
+been written. Ids of words come from a range-partitioned numbering; dictionaries are joined,
+not collected, and only words whose bucket holds a frequent word are sent to that join.
 
 Defined cases: null language: ``und``; null text: empty; an empty table gives an
 empty result; repeated rows count each; scores are exact (decimals of 38 digits, so
@@ -41,8 +45,6 @@ empty result; repeated rows count each; scores are exact (decimals of 38 digits,
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,7 +55,7 @@ from pyspark.sql import functions as F
 from pitchstar.operators.numbering import number_rows
 
 from .common import cut, drop, mix, release, slices, table, text_buffers
-from .wordcodes import LOOK, SLICE, code_words, pack, spans, unpack, words_of, written
+from .wordcodes import LOOK, SLICE, code_words, expand, pack, spans, squeeze, unpack, words_of, written
 
 TILE = 256
 #: Pairs that make a tile dense.
@@ -62,8 +64,12 @@ DENSE = TILE * TILE // 4
 HELD = 4 * SLICE
 #: The largest filter has 2 ** BITS buckets, sent in blocks of BLOCK.
 BITS, BLOCK = 26, 1 << 16
-#: Parts in which a block is added up first.
+#: Tasks whose buckets are added up at once.
 PARTS = 256
+#: Words of the corpus, as a power of 2, for each block of cells.
+CELLS = 21
+#: Cells that a task adds up before it sends them.
+GATHER = 1 << 20
 
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -91,7 +97,7 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _code_slice(number: int, lang: str, texts: list):
-    """One row for each distinct word, one for the stream; -1 ends a piece."""
+    """One row for each distinct word, one for the stream of codes + 1; 0 ends a piece."""
     looked = [_words(part.column("text")) for t in texts for part in slices(pa.table({"text": t}), most=LOOK)]
     codes, words = code_words([w for w, _ in looked])
     if not len(codes):
@@ -105,7 +111,7 @@ def _code_slice(number: int, lang: str, texts: list):
     yield pa.RecordBatch.from_arrays(
         [fixed("word", pa.string(), m), fixed(number, pa.int64(), m), fixed(lang, pa.string(), m), pa.array(np.arange(m), pa.int32()),
          words.cast(pa.string()), pa.array(np.bincount(codes, minlength=m), pa.int64()), pa.nulls(m, pa.binary())], schema=_CODED)
-    yield pa.RecordBatch.from_pylist([{"kind": "text", "slice": number, "lang": lang, "stream": pack(stream)}], schema=_CODED)
+    yield pa.RecordBatch.from_pylist([{"kind": "text", "slice": number, "lang": lang, "stream": squeeze(stream + 1)}], schema=_CODED)
 
 
 def code_texts(batches):
@@ -195,7 +201,7 @@ def _rows(batches, size: int):
     """(slice, stream, words) of the rows of a level of ``size``-word phrases."""
     for batch in batches:
         for number, stream, words in zip(batch.column("slice").to_pylist(), batch.column("stream"), batch.column("words")):
-            yield number, unpack(stream.as_buffer()), unpack(words.as_buffer()).reshape(-1, size)
+            yield number, expand(stream.as_buffer(), np.int32).astype(np.int64), expand(words.as_buffer()).reshape(-1, size)
 
 
 def tally(size: int, bits: int, least: int):
@@ -211,53 +217,118 @@ def tally(size: int, bits: int, least: int):
                 new = np.flatnonzero(np.diff(at, prepend=-1))
                 total[at[new]] = np.minimum(total[at[new]] + np.add.reduceat(n, new), least)
         wide = min(BLOCK, 1 << bits)
-        part = TaskContext.get().partitionId() % PARTS
+        part = TaskContext.get().partitionId() // PARTS
         for block, counts in enumerate(total.reshape(-1, wide)):
             if counts.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "part": pa.array([part], pa.int32()), "counts": [zlib.compress(pack(counts), 1)]})
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part], pa.int32()), *_filled(counts)], schema=_TALLY)
     return run
 
 
-def added(least: int, last: bool):
-    """One block of all tasks; at last one bit for each bucket that reaches ``least``."""
+_TALLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("gaps", pa.binary()), ("counts", pa.binary())])
+
+
+def _filled(counts: np.ndarray) -> list:
+    """The buckets of a block that are not empty, each by its distance from the one before, and their counts."""
+    at = np.flatnonzero(counts)
+    return [pa.array([squeeze(np.diff(at, prepend=0).astype(np.uint16))], pa.binary()), pa.array([squeeze(counts[at])], pa.binary())]
+
+
+def added(least: int, wide: int, last: bool):
+    """One block of some tasks; at last one bit for each of its ``wide`` buckets that reaches ``least``."""
     def run(rows: pa.Table) -> pa.Table:
         kind = np.min_scalar_type(least)
-        total = 0
-        for counts in rows.column("counts"):
-            total = np.minimum(total + unpack(zlib.decompress(counts.as_buffer()), kind).astype(np.int64), least)
-        made = pack(np.packbits(total >= least, bitorder="little")) if last else zlib.compress(pack(total.astype(kind)), 1)
-        return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "counts": [made]})
+        total = np.zeros(wide, np.int64)
+        for gaps, counts in zip(rows.column("gaps"), rows.column("counts")):
+            at = np.cumsum(expand(gaps.as_buffer(), np.uint16), dtype=np.int64)
+            total[at] = np.minimum(total[at] + expand(counts.as_buffer(), kind), least)
+        made = [pa.array([b""], pa.binary()), pa.array([pack(np.packbits(total >= least, bitorder="little"))], pa.binary())] if last else _filled(total.astype(kind))
+        return pa.Table.from_arrays([rows.column("block")[:1], rows.column("part")[:1], *made], schema=_TALLY)
     return run
 
 
 def passing(level: DataFrame, size: int, bits: int, least: int) -> np.ndarray:
     """Buckets, as bits, that hold ``least`` pairs of the level; 2 ** bits / 8 bytes."""
-    kind = "block int, part int, counts binary"
-    sums = (level.mapInArrow(tally(size, bits, least), kind).groupBy("block", "part").applyInArrow(added(least, False), kind)
-            .groupBy("block").applyInArrow(added(least, True), kind))
+    kind = "block int, part int, gaps binary, counts binary"
+    wide = min(BLOCK, 1 << bits)
+    sums = level.mapInArrow(tally(size, bits, least), kind)
+    if level.rdd.getNumPartitions() > PARTS:
+        sums = sums.groupBy("block", "part").applyInArrow(added(least, wide, False), kind)
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for block, _, _, got in sums.groupBy("block").applyInArrow(added(least, wide, True), kind).collect():
+        out[block * wide // 8:(block + 1) * wide // 8] = np.frombuffer(got, np.uint8)
+    return out
+
+
+def frequent(level: DataFrame, at, bits: int) -> np.ndarray:
+    """Buckets, as bits, of the rows of a level; ``at`` counts them from 1."""
     out = np.zeros((1 << bits) // 8, np.uint8)
-    wide = min(BLOCK, 1 << bits) // 8
-    for block, _, got in sums.collect():
-        out[block * wide:(block + 1) * wide] = np.frombuffer(got, np.uint8)
+    wide = 1 << 12  # bytes of a bitmap; there may be less buckets than its bits
+    marks = level.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m"))
+    for b, m in marks.collect():
+        out[(b - 1) * wide:b * wide] = np.frombuffer(m, np.uint8)[:len(out)]
     return out
 
 
+def sought(seen: np.ndarray):
+    """Rows whose bucket ``at``, counted from 1, is marked; without that column."""
+    def run(batches):
+        for batch in batches:
+            keep = pa.array(_marked(batch.column("at").to_numpy() - 1, seen))
+            yield batch.select([c for c in batch.schema.names if c != "at"]).filter(keep)
+    return run
+
+
 def _passed(ids: np.ndarray, bits: int, seen: np.ndarray) -> np.ndarray:
-    at = buckets(ids, bits)
+    return _marked(buckets(ids, bits), seen)
+
+
+def _marked(at: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return (seen[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def counter(size: int, bits: int, seen: np.ndarray):
-    """Cells of a slice that pass: the ids of size + 1 words, and n."""
+def _sum_cells(parts: list) -> np.ndarray:
+    """Cells, by column with n last, in the order of their ids; equal ones added up."""
+    cells_ = np.concatenate(parts, axis=1)
+    cells_ = cells_[:, np.lexsort(cells_[-2::-1])]
+    new = np.flatnonzero(np.concatenate([[True], (cells_[:-1, 1:] != cells_[:-1, :-1]).any(axis=0)])[:cells_.shape[1]])
+    if not len(new):
+        return cells_
+    return np.concatenate([cells_[:-1, new], np.add.reduceat(cells_[-1], new)[None]])
+
+
+def _dealt(parts: list, deal: int):
+    """One row for each of 2 ** ``deal`` blocks that the cells fall in."""
+    cells_ = _sum_cells(parts)
+    block = buckets(cells_[:-1].T, deal)
+    order = np.argsort(block, kind="stable")
+    block, cells_ = block[order], cells_[:, order]
+    edges = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(block)]
+    return pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]], pa.int64()), pa.array([squeeze(cells_[:, i:j]) for i, j in zip(edges, edges[1:])], pa.binary())],
+                                      ["block", "cells"])
+
+
+def counter(size: int, bits: int, seen: np.ndarray, deal: int):
+    """Cells that pass, of one or more slices of a task, in blocks: the ids of size + 1 words and n, by column."""
     def run(batches):
+        parts, held = [], 0
         for _, stream, words in _rows(batches, size):
             _, _, n, ids = cells(stream, words)
             keep = _passed(ids, bits, seen)
-            n, ids = n[keep], ids[keep]
-            for at in range(0, len(n), 1 << 18):
-                part = slice(at, at + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*np.ascontiguousarray(ids[part].T), n[part])],
-                                                 [f"w{i}" for i in range(1, size + 2)] + ["n"])
+            parts.append(np.concatenate([ids[keep].T, n[keep][None]]))
+            held += parts[-1].shape[1]
+            if held >= GATHER:
+                yield _dealt(parts, deal)
+                parts, held = [], 0
+        if held:
+            yield _dealt(parts, deal)
+    return run
+
+
+def summed(size: int, least: int):
+    """The pairs of a block that all slices together hold ``least`` times, with f."""
+    def run(rows: pa.Table) -> pa.Table:
+        every = _sum_cells([expand(c.as_buffer()).reshape(size + 2, -1) for c in rows.column("cells")])
+        return pa.table([pa.array(c) for c in every[:, every[-1] >= least]], names=[*(f"w{i}" for i in range(1, size + 2)), "f"])
     return run
 
 
@@ -278,18 +349,18 @@ _STREAM = pa.schema([("slice", pa.int64()), ("stream", pa.binary()), ("words", p
 
 def _streams(number: int, stream: np.ndarray, words: np.ndarray) -> pa.Table:
     stream = tight(stream)
-    return pa.table({"slice": [number], "stream": [pack(stream)], "words": [pack(words)]} if len(stream) else {"slice": [], "stream": [], "words": []}, schema=_STREAM)
+    return pa.table({"slice": [number], "stream": [squeeze(stream.astype(np.int32))], "words": [squeeze(words)]} if len(stream) else {"slice": [], "stream": [], "words": []}, schema=_STREAM)
 
 
 def _first_stream(text: pa.Table, words: pa.Table) -> pa.Table:
     """The stream of a slice: its frequent words ranked, 1 being the most frequent."""
     if not text.num_rows or not words.num_rows:
         return _STREAM.empty_table()
-    codes = unpack(text.column("stream")[0].as_buffer(), np.int32)
+    codes = expand(text.column("stream")[0].as_buffer(), np.int32)
     ids, of = words.column("id").to_numpy(), words.column("code").to_numpy()
     order = np.argsort(ids)
-    ranks = np.zeros(max(int(codes.max()), int(of.max())) + 2, np.int64)  # the last stands for -1
-    ranks[of[order]] = np.arange(1, len(ids) + 1)
+    ranks = np.zeros(max(int(codes.max()), int(of.max()) + 1) + 1, np.int64)
+    ranks[of[order] + 1] = np.arange(1, len(ids) + 1)
     return _streams(text.column("slice")[0].as_py(), ranks[codes], ids[order].reshape(-1, 1))
 
 
@@ -317,6 +388,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, within: in
     counts = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     levels = [cut(number_rows(counts, [F.desc("f"), "lang", "word"], "w1")
                   .select("w1", "lang", F.array("word").alias("words"), "f", F.array("f").alias("first"), F.array("f").alias("last")))]
+    del counts  # and the shuffle that its plan holds
+    every_word = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(max(16, int(4 * every_word // least).bit_length()), BITS)
+    at = F.pmod(F.xxhash64("lang", "word"), F.lit(1 << bits)) + 1
+    seen = frequent(levels[0].select("lang", F.col("words")[0].alias("word")), at, bits)
+    words = words.select("slice", "lang", "code", "word", at.alias("at")).mapInArrow(sought(seen), "slice long, lang string, code int, word string")
     known = words.join(levels[0].select(F.col("w1").alias("id"), "lang", F.col("words")[0].alias("word")), ["lang", "word"]).select(F.col("slice").alias("of"), "code", "id")
     kind = "slice long, stream binary, words binary"
     release(spark)
@@ -325,13 +402,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, within: in
                  .applyInArrow(_first_stream, kind), streams)
     drop(spark, paths)
     release(spark)
-    every_word = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    bits = min(max(16, int(4 * every_word // least).bit_length()), BITS)
+    deal = max(1, int(every_word >> CELLS).bit_length())
     for size in range(2, longest + 1):
         seen = passing(stream, size - 1, bits, least)
         key = [f"w{i}" for i in range(1, size + 1)]
-        counts = (stream.mapInArrow(counter(size - 1, bits, seen), ", ".join(f"{c} long" for c in key) + ", n long")
-                  .groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        counts = (stream.mapInArrow(counter(size - 1, bits, seen, deal), "block long, cells binary")
+                  .groupBy("block").applyInArrow(summed(size - 1, least), ", ".join(f"{c} long" for c in key) + ", f long"))
         part = levels[-1]
         head = part.select(*key[:-1], "lang", F.col("words").alias("head"), "first")
         tail = part.select(*[F.col(a).alias(b) for a, b in zip(key[:-1], key[1:])], F.element_at("words", -1).alias("end"), "last")

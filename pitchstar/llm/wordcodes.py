@@ -70,6 +70,19 @@ def unpack(value: bytes, dtype=np.int64) -> np.ndarray:
     return np.frombuffer(value, dtype)
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """As ``pack``, compressed: first bytes of all values, then second bytes and so on."""
+    flat = np.ascontiguousarray(values).reshape(-1)
+    planes = flat.view(np.uint8).reshape(-1, flat.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes).reshape(-1), codec="zstd", asbytes=True)
+
+
+def expand(value, dtype=np.int64) -> np.ndarray:
+    raw = pa.CompressedInputStream(pa.BufferReader(value), "zstd").read()
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).reshape(-1).view(dtype)
+
+
 def written(df: DataFrame, by: str, keep: list | None = None) -> DataFrame:
     """As ``common.cut``, with a folder for each value of ``by``: a plan that
     wants one kind of rows opens only its files."""
